@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loam.llm import exact_dedup, near_dedup
+from loam.llm import bpe, decontaminate, exact_dedup, near_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +22,20 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), ranks, pattern)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_bpe": op9_bpe,
 }
 
 SQL: dict[str, str] = {
@@ -51,4 +63,27 @@ SQL: dict[str, str] = {
         SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.reach) AS component_id, d.doc_id = min(r.reach) AS kept
         FROM d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
     """,
+    "op8_decontaminate": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        b AS (
+            SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark),
+        p AS (
+            SELECT item, m, array_to_string(w[i : i + m - 1], ' ') AS win FROM (
+                SELECT item, w, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+        o AS (
+            SELECT doc_id, i, m, array_to_string(w[i : i + m - 1], ' ') AS win FROM (
+                SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+                FROM d, (SELECT DISTINCT m FROM p) WHERE len(w) >= m)),
+        h AS (SELECT DISTINCT o.doc_id, o.i, o.m, p.item FROM o JOIN p USING (m, win)),
+        n AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS j FROM h) GROUP BY doc_id),
+        t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+        SELECT d.doc_id, len(d.w) AS n_words, coalesce(n.n_hit, 0) AS n_hit, coalesce(t.n_items, 0) AS n_items,
+               sha256(coalesce(t.items, '')) AS items_sha256, coalesce(n.n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
+    """,
 }
