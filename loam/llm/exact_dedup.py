@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loam.session import materialize
+
 #: Salts for one digest; rows of a text are spread over so many reducers in the first merge.
 SALTS = 16
 
@@ -37,15 +39,16 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     digests = texts.groupBy("digest").agg(
         F.max("keep_id").alias("keep_id"),
         F.sum("group_size").alias("group_size"),
-        (F.count(F.lit(1)) > 1).alias("collided"),
+        F.count(F.lit(1)).alias("texts"),
     )
-    members = rows.select("id", "digest")
-    plain = members.join(digests.where(~F.col("collided")).drop("collided"), "digest")
-    # Texts that share a SHA-256 digest: no such pair is known to exist, so this side is empty, is broadcast,
-    # and its joins are cut at run time.
-    clash = F.broadcast(digests.where("collided").select("digest"))
-    odd = rows.join(clash, "digest", "left_semi").join(texts, ["digest", "body"]).select("digest", "id", "keep_id", "group_size")
-    return plain.select("digest", "id", "keep_id", "group_size").unionByName(odd).select(
+    # Written without the texts: the lookup below then splits a digest that many rows share over several tasks.
+    digests, _ = materialize(digests, "digests")
+    found = rows.select("id", "digest").join(digests.where("texts = 1").drop("texts"), "digest")
+    clash = digests.where("texts > 1").select("digest")
+    if clash.limit(1).count():
+        odd = rows.join(clash, "digest", "left_semi").join(texts, ["digest", "body"])
+        found = found.unionByName(odd.select(found.columns))
+    return found.select(
         F.col("id").alias(id_col),
         F.col("keep_id"),
         F.col("group_size").cast("long").alias("group_size"),
