@@ -16,7 +16,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+import sys
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -29,7 +31,7 @@ from loam.llm.textcodes import small_batches
 from loam.session import ship
 
 #: Units that a worker remembers.
-CACHE = 500_000
+CACHE = 1_000_000
 _NONE = 1 << 62
 _PLACE = 40
 
@@ -90,32 +92,51 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-class UnitCache(dict):
-    """Unit to little-endian ids; None marks a unit at which a text must not be cut.
+class UnitEncoder(dict):
+    """Encodes texts unit by unit; a dictionary of unit to little-endian ids, of bounded size.
 
     A unit is what follows a blank up to the next one: "x" stands for " x", and as line ends were given a
     blank before them, "\\nx" stands for a line end and "x". A cut before a blank or a line end keeps the
     matches if the next character isn't white space: a run of white space before a non-blank always
-    leaves its last character to what follows.
+    leaves its last character to what follows. Where that doesn't hold (None), the text is encoded whole.
+    Units seen lately survive in two generations of half the limit each.
     """
 
-    def __init__(self, encode, limit: int = CACHE):
+    def __init__(self, plain: Callable[[str], bytes], limit: int = CACHE):
         super().__init__()
-        self.encode, self.limit = encode, limit
+        self.plain, self.half, self.old = plain, limit // 2, {}
 
     def __missing__(self, unit: str) -> bytes | None:
-        body = unit[1:] if unit[:1] == "\n" else unit
-        if not body or body[0].isspace():
-            return None
-        ids = self.encode(unit if unit[0] == "\n" else " " + unit)
-        if len(self) >= self.limit:
+        ids = self.old.get(unit)
+        if ids is None:
+            body = unit[1:] if unit[:1] == "\n" else unit
+            if not body or body[0].isspace():
+                return None
+            ids = self.plain(unit if unit[0] == "\n" else " " + unit)
+        if len(self) >= self.half:
+            self.old = dict(self)
             self.clear()
         self[unit] = ids
         return ids
 
+    def encode(self, text: str) -> bytes:
+        """All ids as little-endian unsigned 32-bit integers."""
+        if not text:
+            return b""
+        first, *rest = text.replace("\n", " \n").split(" ")
+        if first:
+            parts = list(map(self.__getitem__, rest))
+            if None not in parts:
+                return self.plain(first) + b"".join(parts)
+        return self.plain(text)
+
 
-def split_units(text: str) -> list[str]:
-    return text.replace("\n", " \n").split(" ")
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 class Codec:
@@ -125,20 +146,10 @@ class Codec:
         self.ranks = read_ranks(path)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.matches = regex.compile(pattern).findall
-        self.units = UnitCache(self._plain)
+        self.encode = UnitEncoder(self._plain).encode
 
     def _plain(self, text: str) -> bytes:
-        ids = [i for match in self.matches(text) for i in merge(match.encode(), self.ranks)]
-        return np.array(ids, "<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """All ids as little-endian unsigned 32-bit integers."""
-        first, *rest = split_units(text)
-        if first and not first[-1].isspace() or not rest:
-            parts = list(map(self.units.__getitem__, rest))
-            if None not in parts:
-                return self._plain(first) + b"".join(parts) if first else b""
-        return self._plain(text)
+        return packed([i for match in self.matches(text) for i in merge(match.encode(), self.ranks)])
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loam.llm import bpe, decontaminate, exact_dedup, near_dedup
+from loam.llm import bpe, decontaminate, exact_dedup, near_dedup, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.store_and_read(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -34,6 +38,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op7_token_store": op7_token_store,
     "op8_decontaminate": op8_decontaminate,
     "op9_bpe": op9_bpe,
 }
