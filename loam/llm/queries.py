@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loam.llm import bpe, decontaminate, exact_dedup, near_dedup, token_store
+from loam.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, token_store
+from loam.llm.sampling import bucket_of
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +24,13 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = bucket_of(F.col("doc_id"), 4) == 2
+    model = language_id.train(docs, ~held_out)
+    return language_id.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_and_read(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -38,6 +47,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op4_language_id": op4_language_id,
     "op7_token_store": op7_token_store,
     "op8_decontaminate": op8_decontaminate,
     "op9_bpe": op9_bpe,
