@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, token_store
+from loam.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, token_store, toxicity
 from loam.llm.sampling import bucket_of
 
 
@@ -31,6 +31,14 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = bucket_of(F.col("doc_id"), 5) == 0
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_and_read(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -48,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op4_language_id": op4_language_id,
+    "op6_toxicity": op6_toxicity,
     "op7_token_store": op7_token_store,
     "op8_decontaminate": op8_decontaminate,
     "op9_bpe": op9_bpe,
