@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, token_store, toxicity
+from loam.llm import bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, near_dedup, token_store, toxicity
 from loam.llm.sampling import bucket_of
 
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.find_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.report(_table(spark, sf_dir, "conversations"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = bucket_of(F.col("doc_id"), 5) == 0
@@ -53,9 +61,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op4_language_id": op4_language_id,
+    "op5_chat_format": op5_chat_format,
     "op6_toxicity": op6_toxicity,
     "op7_token_store": op7_token_store,
     "op8_decontaminate": op8_decontaminate,
@@ -63,6 +73,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_license_scan": license_scan.oracle(),
+    "op5_chat_format": chat_format.SQL,
     "op2_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
