@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.llm import bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, near_dedup, token_store, toxicity
+from loam.llm import bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, near_dedup, quality, token_store, toxicity
 from loam.llm.sampling import bucket_of
 
 
@@ -60,6 +60,15 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), ranks, pattern)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = bucket_of(F.col("doc_id"), 5) == 0
+    model = quality.train(docs, _table(spark, sf_dir, "labels"), ~held_out)
+    scored = quality.score(docs.select("doc_id", held_out.alias("held_out"), "text", "lang", "source", "n_chars"), model)
+    scored = scored.select("doc_id", "held_out", "score_text", "score_meta", "score")
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_exact_dedup": op2_exact_dedup,
@@ -70,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_store": op7_token_store,
     "op8_decontaminate": op8_decontaminate,
     "op9_bpe": op9_bpe,
+    "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {
