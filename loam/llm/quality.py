@@ -53,14 +53,16 @@ def meta_view(buckets: list[list[int]]) -> np.ndarray:
     return out
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, steps: int = 250, rate: float = 0.1) -> np.ndarray:
-    """Weights (the last is the bias) of a logistic regression, by Adam on the whole set."""
-    w, m, v = (np.zeros(x.shape[1] + 1) for _ in range(3))
+def fit_logistic(x: np.ndarray, y: np.ndarray, start: np.ndarray | None = None, l2: float = 1e-3, steps: int = 120, rate: float = 0.2) -> np.ndarray:
+    """Weights (the last is the bias) of a logistic regression, by Adam on the whole set; in float32 throughout."""
+    x, y = x.astype(np.float32, copy=False), y.astype(np.float32)
+    w = np.zeros(x.shape[1] + 1, np.float32) if start is None else start.copy()
+    m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
         error = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -40, 40))) - y
-        g = np.append(x.T @ error / len(y) + l2 * w[:-1], error.mean())
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        g = np.append(error @ x / len(y) + np.float32(l2) * w[:-1], error.mean()).astype(np.float32)
+        m, v = np.float32(0.9) * m + np.float32(0.1) * g, np.float32(0.999) * v + np.float32(0.001) * g * g
+        w -= np.float32(rate / (1 - 0.9**t)) * m / (np.sqrt(v / np.float32(1 - 0.999**t)) + np.float32(1e-8))
     return w
 
 
@@ -107,14 +109,14 @@ def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np
     given: list[dict[int, float]] = [{}, {}]
     share = float(y.mean())
 
-    def fitted() -> list[np.ndarray]:
+    def fitted(start: list[np.ndarray | None], steps: int) -> list[np.ndarray]:
         out = []
-        for view, more, extra in zip(views, pool, given, strict=True):
+        for view, more, extra, w in zip(views, pool, given, start, strict=True):
             rows = np.fromiter(extra, int, len(extra))
-            out.append(fit_logistic(np.concatenate([view, more[rows]]), np.concatenate([y, np.fromiter(extra.values(), float, len(extra))])))
+            out.append(fit_logistic(np.concatenate([view, more[rows]]), np.concatenate([y, np.fromiter(extra.values(), float, len(extra))]), w, steps=steps))
         return out
 
-    weights = fitted()
+    weights = fitted([None, None], 120)
     for _ in range(rounds):
         for i in (0, 1):
             other = given[1 - i]
@@ -127,7 +129,7 @@ def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np
                 other[r] = 0.0
             for r in order[max(low, len(order) - max(1, per_round - low)) :].tolist():
                 other[r] = 1.0
-        weights = fitted()
+        weights = fitted(weights, 40)
     return weights[0], weights[1]
 
 
@@ -148,7 +150,7 @@ def train(
     total = sum(sizes.values())
     share = (sizes.get(1, 0) + 0.5) / (total + 1)
     n_docs = docs.where(usable).select(F.count(F.lit(1))).first()[0]
-    zero = lambda bits: np.zeros((1 << bits) + 1)
+    zero = lambda bits: np.zeros((1 << bits) + 1, np.float32)
     plain = Model(zero(TEXT_BITS), zero(META_BITS), *[np.array([0.0, np.log(share / (1 - share))])] * 2, np.array([1.0, 0.0, 0.0]))
     if len(sizes) < 2 or not n_docs:
         return plain
