@@ -160,28 +160,46 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _codes(batch: pa.RecordBatch, path: str, pattern: str) -> list[bytes]:
-    own = codec(path, pattern)
-    return [own.encode(x or "") for x in batch.column("text").to_pylist()]
+def _renamed(df: DataFrame) -> tuple[DataFrame, str, list[str]]:
+    """df with its columns named c0, c1, ...; their schema as text; the new names."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    plain = df.toDF(*names)
+    return plain, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema), names
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """docs with an array<int> column of ids."""
+def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", names: tuple[str, str] = ("ids", "lossless")) -> DataFrame:
+    """docs with an array<int> of ids and whether they decode to the text's bytes."""
     ship(docs.sparkSession)
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    spot = docs.columns.index(text_col)
-    plain = docs.toDF(*names)
-    schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, plain.schema, strict=True))
+    plain, schema, inner = _renamed(docs)
+    spot = inner[docs.columns.index(text_col)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(path, pattern)
         for whole in batches:
-            for batch in small_batches(whole, names[spot]):
-                codes = _codes(batch.select([names[spot]]).rename_columns(["text"]), path, pattern)
+            for batch in small_batches(whole, spot):
+                texts = [x or "" for x in batch.column(spot).to_pylist()]
+                codes = [own.encode(x) for x in texts]
+                same = [own.decode(c) == x.encode() for c, x in zip(codes, texts, strict=True)]
                 at = np.concatenate([[0], np.cumsum([len(c) // 4 for c in codes])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(codes), "<u4").astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*names, "out"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(same, pa.bool_())], names=[*inner, "x", "y"])
+
+    return plain.mapInArrow(run, f"{schema}, x array<int>, y boolean").toDF(*docs.columns, *names)
+
+
+def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
+    """df with the bytes that its ids stand for; null ids give no bytes."""
+    ship(df.sparkSession)
+    plain, schema, inner = _renamed(df)
+    spot = inner[df.columns.index(ids_col)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = codec(path, pattern).tokens
+        for batch in batches:
+            back = [b"".join(map(tokens.__getitem__, x or ())) for x in batch.column(spot).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(back, pa.binary())], names=[*inner, "x"])
 
-    return plain.mapInArrow(run, f"{schema}, out array<int>").toDF(*docs.columns, out)
+    return plain.mapInArrow(run, f"{schema}, x binary").toDF(*df.columns, out)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -126,12 +126,12 @@ def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _matching(matcher, first: bool):
+def _matching(matcher, first: bool, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = matcher.value
         for whole in batches:
-            for batch in small_batches(whole, "__text"):
-                counts, spans, items = own.search(batch.column("__text"))
+            for batch in small_batches(whole, text):
+                counts, spans, items = own.search(batch.column(text))
                 n = batch.num_rows
                 old_spans = [None] * n if first else batch.column("spans").to_pylist()
                 old_items = [None] * n if first else batch.column("items").to_pylist()
@@ -151,42 +151,49 @@ def _matching(matcher, first: bool):
     return run
 
 
-def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-    window: int = WINDOW, keep_text: bool = False, item_bytes: int = ITEM_BYTES,
-) -> DataFrame:
-    """For each row of docs: id, n_words, spans (first, end) of hit words, items (sorted strings), contaminated.
+def _searched(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text: str, window: int, item_bytes: int) -> DataFrame:
+    """docs with its columns named c0, c1, ..., and n_words, spans, items.
 
     The benchmark is split by a hash of the item into blocks of about item_bytes; a block is collected,
     turned into tables and broadcast, and each block is one pass over the documents, so nothing that is
-    broadcast grows with the benchmark. Defined results: null and empty texts have no words and no hits;
-    items without words match nothing; items that repeat an id are one item; an empty benchmark finds
-    nothing; an item without an id is named "".
+    broadcast grows with the benchmark.
     """
     spark = docs.sparkSession
     ship(spark)
     pool = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text).alias("text")).where("text is not null")
     total = pool.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // item_bytes))
-    rows = docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias("__text"))
-    kind = rows.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, __text string, n_words long, spans array<struct<first:long,end:long>>, items array<string>"
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*names)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    schema += ", n_words long, spans array<struct<first:long,end:long>>, items array<string>"
+    text = names[docs.columns.index(text_col)]
     for i in range(blocks):
         part = pool.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == i).collect()
         matcher = spark.sparkContext.broadcast(Matcher([(r["item"], r["text"]) for r in part], window))
-        rows = rows.mapInArrow(_matching(matcher, i == 0), schema)
+        rows = rows.mapInArrow(_matching(matcher, i == 0, text), schema)
         if i < blocks - 1:
             rows, _ = materialize(rows, "hits")
-    rows = rows.withColumn("contaminated", F.size("spans") > 0)
-    return rows if keep_text else rows.drop("__text")
+    return rows
+
+
+def find_contamination(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+    window: int = WINDOW, item_bytes: int = ITEM_BYTES,
+) -> DataFrame:
+    """For each row of docs: id, n_words, spans (first, end) of hit words, items (sorted strings), contaminated.
+
+    Defined results: null and empty texts have no words and no hits; items without words match nothing; items
+    that repeat an id are one item; an empty benchmark finds nothing; an item without an id is named "".
+    """
+    rows = _searched(docs.select(F.col(id_col), F.col(text_col).alias("__text")), benchmark, "__text", item_col, item_text, window, item_bytes)
+    return rows.select(F.col("c0").alias(id_col), "n_words", "spans", "items", (F.size("spans") > 0).alias("contaminated"))
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, item_bytes: int = ITEM_BYTES) -> DataFrame:
     """The rows of docs in which no window of the benchmark occurs, with all their columns."""
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    packed = docs.select(F.struct(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)]).alias("row"), F.col(f"`{text_col}`").alias("text"))
-    clean = find_contamination(packed, benchmark, id_col="row", window=window).where("not contaminated")
-    return clean.select(*[F.col(f"row.{n}").alias(c) for c, n in zip(docs.columns, names, strict=True)])
+    rows = _searched(docs, benchmark, text_col, item_col, item_text, window, item_bytes).where(F.size("spans") == 0)
+    return rows.drop("n_words", "spans", "items").toDF(*docs.columns)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -200,5 +207,3 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> Dat
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
-
-
