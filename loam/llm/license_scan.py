@@ -23,6 +23,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loam.functions.text import let
+
 SHINGLE, WINDOW, STEP, HASHES, CONTAINMENT = 5, 8, 4, 40, 0.8
 #: Rows of template bands that may be broadcast.
 MAX_BANDS = 200_000
@@ -77,22 +79,26 @@ def tokens(text: Column) -> Column:
 
 def shingles(words: Column) -> Column:
     """Shingles in order; an array of fewer words gives one, no word none."""
-    n = F.size(words)
-    many = F.transform(F.sequence(F.lit(1), F.greatest(n - SHINGLE + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, SHINGLE), " "))
-    return F.when(n == 0, F.array().cast("array<string>")).otherwise(many)
+
+    def cut(x: Column) -> Column:
+        many = F.transform(F.sequence(F.lit(1), F.greatest(F.size(x) - SHINGLE + 1, F.lit(1))), lambda i: F.array_join(F.slice(x, i, SHINGLE), " "))
+        return F.when(F.size(x) == 0, F.array().cast("array<string>")).otherwise(many)
+
+    return let(words, cut)
 
 
 def window_bands(hashes: Column, step: int) -> Column:
     """For windows of WINDOW words, step words apart, the HASHES bands of each."""
-    size = WINDOW - SHINGLE + 1
-    starts = F.sequence(F.lit(1), F.greatest(F.size(hashes) - size + step, F.lit(1)), F.lit(step))
-    seeds = F.sequence(F.lit(1), F.lit(HASHES))
+    size, seeds = WINDOW - SHINGLE + 1, F.array(*[F.lit(k) for k in range(1, HASHES + 1)])
 
-    def bands(start: Column) -> Column:
-        window = F.slice(hashes, start, size)
+    def bands(window: Column) -> Column:
         return F.transform(seeds, lambda k: F.xxhash64(k, F.array_min(F.transform(window, lambda h: F.xxhash64(h, k)))))
 
-    return F.flatten(F.transform(starts, bands))
+    def windows(x: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(x) - size + step, F.lit(1)), F.lit(step))
+        return F.flatten(F.transform(starts, lambda start: let(F.slice(x, start, size), bands)))
+
+    return let(hashes, windows)
 
 
 def find_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
