@@ -7,11 +7,14 @@ collisions drops hopeless ones, and the full shingle sets of both documents conf
 
 How all links are found without all pairs of a group:
 1. Documents with the same shingle set become one class (they are linked by definition).
-2. Two rounds link the members of each band bucket with one centre of the bucket (a star); confirmed
-   links are merged into components. A group of copies, however large, is one component after that.
-3. In buckets that still hold several components, the members are compared block against block, in numpy,
-   and only pairs of different components whose estimate is near the threshold leave the kernel. No
-   bucket is capped.
+2. The members of each band bucket are compared with two centres of the bucket (stars); confirmed links are
+   merged into components. Most of a group of copies, however large, is one component after that.
+3. In buckets that still hold several components, the members are compared block against block, in numpy.
+   Members of a large bucket carry the difference of their shingle set to the set of a common centre (their
+   anchor, found with the stars): the size of the symmetric difference of two members is that of their
+   two differences, so their similarity is exact without their sets, and only links that join two
+   components leave the kernel. Other pairs leave it if their estimate is near the threshold and are
+   confirmed on full sets. No bucket is capped.
 
 The number of rows in a band is the largest for which a pair exactly at the threshold is missed with a
 probability of at most MISS.
@@ -37,8 +40,12 @@ REGISTERS, MANTISSA = 256, 10
 #: Probability with which a pair exactly at the threshold may share no band.
 MISS = 1e-5
 #: Members of one block when a bucket is compared in blocks.
-BLOCK = 128
-STAR_ROUNDS = 2
+BLOCK = 1024
+#: In buckets of so many members, stars keep the differences to the centre down to this similarity.
+LARGE, ANCHOR_LEVEL = 128, 0.6
+#: Bits of the filter that keeps documents without any candidate from being cut into shingles again; its size is
+#: fixed, and where the candidates outgrow it, more documents pass it than need to.
+FILTER_BITS = 26
 
 
 @dataclass(frozen=True)
@@ -132,23 +139,54 @@ def _band_batches(rows: int, bands: int):
 
 
 def _likely(level: float):
+    """Drops pairs that can't be links; in large buckets those that are no use as anchors either."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             one, two = (np.array([np.frombuffer(x, np.uint16) for x in batch.column(c).to_pylist()]) for c in ("sketch_a", "sketch_b"))
             n_one, n_two = (batch.column(c).to_numpy().astype(float) for c in ("n_a", "n_b"))
-            keep = worth_checking(*estimate(one, two, n_one, n_two), level)
-            keep &= np.minimum(n_one, n_two) >= level * np.maximum(n_one, n_two) - 1e-9
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            value, total = estimate(one, two, n_one, n_two)
+            link = worth_checking(value, total, level) & (np.minimum(n_one, n_two) >= level * np.maximum(n_one, n_two) - 1e-9)
+            anchor = batch.column("large").to_numpy(zero_copy_only=False) & worth_checking(value, total, ANCHOR_LEVEL)
+            yield batch.select(["centre", "id", "large"]).filter(pa.array(link | anchor))
 
     return run
 
 
-def _set_batches(k: int):
+def _filter_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Non-empty chunks of a task's bitmap of hashed ids."""
+    bits = np.zeros(1 << FILTER_BITS, bool)
+    for batch in batches:
+        bits[_filter_place(batch.column("id").to_numpy())] = True
+    chunks = np.packbits(bits).reshape(-1, 4096)
+    some = np.flatnonzero(chunks.any(axis=1))
+    if len(some):
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([chunks[i].tobytes() for i in some], pa.binary())], names=["chunk", "bits"])
+
+
+def _filter_place(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _filter(ids: DataFrame):
+    """A broadcast bitmap of 2^FILTER_BITS bits, whatever the number of ids."""
+    chunks = ids.mapInArrow(_filter_chunks, "chunk int, bits binary").groupBy("chunk").agg(F.expr("bitmap_or_agg(bits)").alias("bits"))
+    bitmap = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    for row in chunks.toLocalIterator():
+        bitmap[row["chunk"] * 4096 : (row["chunk"] + 1) * 4096] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    return ids.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def _set_batches(k: int, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = wanted.value
         for whole in batches:
-            for batch in small_batches(whole, "text"):
+            ids = whole.column("id").to_numpy(zero_copy_only=False)
+            place = _filter_place(ids)
+            keep = (bitmap[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1
+            for batch in small_batches(whole.filter(pa.array(keep.astype(bool))), "text"):
                 sets = [values.tobytes() for values in shingle_sets(batch.column("text"), k)]
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], names=["id", "shingles"])
 
@@ -156,50 +194,87 @@ def _set_batches(k: int):
 
 
 def _confirmed(percent: int):
+    """(centre, id, link, delta): whether the pair is a link; for large buckets the difference of the sets."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for one, two in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
+            links, deltas = [], []
+            for one, two, large in zip(batch.column("set_a"), batch.column("set_b"), batch.column("large").to_pylist(), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, two))
                 shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                links.append(100 * shared >= percent * (len(x) + len(y) - shared))
+                deltas.append(np.setxor1d(x, y, assume_unique=True).tobytes() if large else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("centre"), batch.column("id"), pa.array(links, pa.bool_()), pa.array(deltas, pa.binary())], names=["centre", "id", "link", "delta"]
+            )
 
     return run
 
 
-def _block_pairs(level: float):
-    """Rows sorted by (key, pair): compares the members of the two blocks of a bucket, yields likely pairs."""
-
-    def flush(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.array([r[0] for r in rows], np.int64)
-        part = np.array([r[1] for r in rows])
-        side = np.array([r[2] for r in rows])
-        size = np.array([r[3] for r in rows], float)
-        grid = np.array([np.frombuffer(r[4], np.uint16) for r in rows])
-        left, right = (np.flatnonzero(side <= 1), np.flatnonzero(side >= 1)) if (side != 1).any() else (np.arange(len(rows)),) * 2
-        found = [], []
-        for i in left:
-            j = right[(part[right] != part[i]) & (np.minimum(size[right], size[i]) >= level * np.maximum(size[right], size[i]) - 1e-9)]
-            j = j[ids[j] > ids[i]] if (side == 1).all() else j
+class _Block:
+    """Members of two blocks of a bucket (side 0 and 2), or of one (side 1)."""
+
+    def __init__(self, rows: list[tuple]):
+        ids, parts, side, size, sketches, centres, deltas = zip(*rows, strict=True)
+        self.ids, self.size = np.array(ids, np.int64), np.array(size, float)
+        self.part = np.unique(parts, return_inverse=True)[1]
+        side = np.array(side)
+        self.within = bool((side == 1).any())
+        self.left, self.right = np.flatnonzero(side <= 1), np.flatnonzero(side >= 1)
+        self.grid = np.array([np.frombuffer(x, np.uint16) for x in sketches])
+        self.anchor = np.array([-1 if c is None or d is None else c for c, d in zip(centres, deltas, strict=True)], np.int64)
+        own = [np.frombuffer(d, np.uint64) if d is not None else np.zeros(0, np.uint64) for d in deltas]
+        self.differ = np.array([len(d) for d in own])
+        self.values, self.owner = np.concatenate(own), np.repeat(np.arange(len(own)), self.differ)
+        self.delta = own
+
+    def joins(self, level: float, percent: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+        """Certain links that join two components, and pairs to confirm."""
+        sure, maybe = [], []
+        for i in self.left.tolist():
+            j = self.right[self.part[self.right] != self.part[i]]
+            if self.within:
+                j = j[j > i]
+            j = j[np.minimum(self.size[j], self.size[i]) >= level * np.maximum(self.size[j], self.size[i]) - 1e-9]
+            if not len(j):
+                continue
+            j = j[worth_checking(*estimate(self.grid[i], self.grid[j], self.size[i], self.size[j]), level)]
+            near = (self.anchor[j] == self.anchor[i]) & (self.anchor[j] >= 0)
+            maybe += [(i, k) for k in j[~near].tolist()]
+            j = j[near]
             if len(j):
-                hit = j[worth_checking(*estimate(grid[i], grid[j], size[i], size[j]), level)]
-                found[0].append(np.minimum(ids[i], ids[hit])), found[1].append(np.maximum(ids[i], ids[hit]))
-        return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
+                common = np.bincount(self.owner[np.isin(self.values, self.delta[i])], minlength=len(self.ids))[j]
+                apart = self.differ[i] + self.differ[j] - 2 * common
+                both = self.size[i] + self.size[j]  # intersection (both - apart) / 2, union (both + apart) / 2
+                for k in j[100 * (both - apart) >= percent * (both + apart)].tolist():
+                    if self.part[k] != self.part[i]:
+                        sure.append((i, k))
+                        self.part[self.part == self.part[k]] = self.part[i]
+        return sure, maybe
+
+
+def _block_pairs(level: float, percent: int):
+    """Rows sorted by (key, pair): compares the members of the two blocks of a bucket."""
+
+    def flush(rows: list[tuple]) -> pa.RecordBatch:
+        block = _Block(rows)
+        sure, maybe = block.joins(level, percent)
+        pairs = np.array(sure + maybe, np.int64).reshape(-1, 2)
+        one, two = block.ids[pairs[:, 0]], block.ids[pairs[:, 1]]
+        certain = np.arange(len(pairs)) < len(sure)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(certain)], names=["a", "b", "sure"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, at = [], None
         for batch in batches:
-            for key, pair, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "pair", "id", "component", "side", "n", "sketch")), strict=True):
+            for key, pair, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "pair", "id", "component", "side", "n", "sketch", "centre", "delta")), strict=True):
                 if (key, pair) != at:
                     if len(rows) > 1:
-                        a, b = flush(rows)
-                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                        yield flush(rows)
                     rows, at = [], (key, pair)
                 rows.append(row)
         if len(rows) > 1:
-            a, b = flush(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            yield flush(rows)
 
     return run
 
@@ -224,56 +299,57 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         full.groupBy("digest").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.first("sketch").alias("sketch")), "classes"
     )
     # One id with two different texts: its first class carries the sketch, the link below joins the classes.
-    reps, reps_path = materialize(
-        classes.select("id", "n", "sketch").mapInArrow(_band_batches(conf.rows, conf.bands), "id long, key long"), "bands"
-    )
+    bands = classes.select("id", "n", "sketch").mapInArrow(_band_batches(conf.rows, conf.bands), "id long, key long")
+    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
+    members, members_path = materialize(bands.join(shared.select("key", "size"), "key").select("key", "id", "size", (F.col("size") >= LARGE).alias("large")), "members")
     sketches = classes.select("id", "n", "sketch")
-    tested, links = None, None
-    scratch: list[str] = [reps_path]
-
-    def confirm(pairs: DataFrame, check_estimate: bool) -> DataFrame:
-        nonlocal tested, links
-        if check_estimate:
-            side = lambda x: sketches.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
-            pairs = pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(_likely(level), "a long, b long").distinct()
-        likely, path = materialize(pairs, "likely")
-        scratch.append(path)
-        ends = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
-        # One text for each class; where an id is repeated with other texts, all of them are compared.
-        sets = rows.join(ends, "id", "left_semi").mapInArrow(_set_batches(k), "id long, shingles binary")
-        one = lambda x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}"))
-        sure = likely.join(one("b"), "b").join(one("a"), "a").mapInArrow(_confirmed(percent), "a long, b long").distinct()
-        sure, path = materialize(sure, "links")
-        scratch.append(path)
-        tested = likely if tested is None else tested.unionByName(likely)
-        links = sure if links is None else links.unionByName(sure)
+    scratch = [members_path]
+
+    def sets_of(ends: DataFrame) -> DataFrame:
+        # Where an id is repeated with other texts, all of them are compared.
+        return rows.where("id is not null").mapInArrow(_set_batches(k, _filter(ends)), "id long, shingles binary")
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        """(centre, id, link, delta) of (centre, id, large) pairs, from their full sets."""
+        pairs, path = materialize(pairs, "likely")
+        sets = sets_of(pairs.select(F.col("centre").alias("id")).union(pairs.select("id")))
+        one = lambda x, y: sets.select(F.col("id").alias(x), F.col("shingles").alias(y))
+        sure = pairs.join(one("id", "set_b"), "id").join(one("centre", "set_a"), "centre")
+        sure, sure_path = materialize(sure.mapInArrow(_confirmed(percent), "centre long, id long, link boolean, delta binary"), "confirmed")
+        scratch.extend([path, sure_path])
         return sure
 
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b"))
+
     def labelled() -> DataFrame:
-        parts = components(links)
-        return reps.join(parts, "id", "left").select("id", "key", F.coalesce("component", "id").alias("component"))
-
-    # Stars: in each bucket all members against one centre of another component.
-    now = reps.withColumn("component", F.col("id"))
-    for turn in range(STAR_ROUNDS):
-        order = F.struct(F.xxhash64("component", F.lit(turn)).alias("h"), F.xxhash64("id", F.lit(turn)).alias("g"), "id", "component")
-        centre = now.groupBy("key").agg(F.min(order).alias("c"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        star = (
-            now.join(centre.select("key", F.col("c.id").alias("centre"), F.col("c.component").alias("other")), "key")
-            .where("component <> other")
-            .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            star = star.join(tested, ["a", "b"], "left_anti")
-        confirm(star, check_estimate=True)
-        now, path = materialize(labelled(), "labelled")
+        now = members.join(components(links), "id", "left").select("id", "key", "large", F.coalesce("component", "id").alias("component"))
+        now, path = materialize(now, "labelled")
         scratch.append(path)
+        return now
+
+    # Stars: in each bucket all members against two centres: the member that meets most others over all its
+    # buckets (the least changed copy of a group), and one by hash.
+    met = members.groupBy("id").agg((-F.sum("size")).alias("met"))
+    popular, any_one = F.struct("met", F.xxhash64("id").alias("h"), "id"), F.struct(F.xxhash64("id", F.lit(1)).alias("h"), "id")
+    centres = members.join(met, "id").groupBy("key").agg(F.min(popular)["id"].alias("one"), F.min(any_one)["id"].alias("two"))
+    star = members.join(centres, "key").select("id", "large", F.explode(F.array("one", "two")).alias("centre")).where("id <> centre")
+    star = star.groupBy("centre", "id").agg(F.max("large").alias("large"))
+    side = lambda x, y: sketches.select(F.col("id").alias(x), F.col("n").alias(f"n_{y}"), F.col("sketch").alias(f"sketch_{y}"))
+    likely = star.join(side("id", "b"), "id").join(side("centre", "a"), "centre").mapInArrow(_likely(level), "centre long, id long, large boolean")
+    sure = confirm(likely)
+    tested, links = ordered(sure), ordered(sure.where("link"))
+    anchors = sure.where("delta is not null").select("centre", "id", "delta")
+    now = labelled()
 
     # Blocks: what is left of the buckets that several components share.
-    open_keys = now.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    open_keys = open_keys.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    member = now.join(open_keys, "key").withColumn("block", F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int"))
+    many = anchors.groupBy("centre").agg(F.count(F.lit(1)).alias("followers"))
+    nothing = F.lit(b"").cast("binary")
+    anchors = anchors.unionByName(many.select("centre", F.col("centre").alias("id"), nothing.alias("delta")))
+    anchors = anchors.join(many, "centre").groupBy("id").agg(F.max_by(F.struct("centre", "delta"), F.struct("followers", "centre")).alias("anchor"))
+    still = now.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    still = still.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    member = now.join(still, "key").withColumn("block", F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int"))
     # Block i meets every block: as the smaller number (side 0), with itself (1), as the larger one (2).
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     member = member.select("id", "key", "component", "block", "blocks", other.alias("with"))
@@ -282,9 +358,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         (F.least("block", "with") * F.col("blocks") + F.greatest("block", "with")).alias("pair"),
         F.when(F.col("block") < F.col("with"), 0).when(F.col("block") == F.col("with"), 1).otherwise(2).alias("side"),
     )
-    member = member.join(sketches, "id").repartition("key", "pair").sortWithinPartitions("key", "pair")
-    left = member.select("key", "pair", "id", "component", "side", "n", "sketch").mapInArrow(_block_pairs(level), "a long, b long").distinct()
-    confirm(left.join(tested, ["a", "b"], "left_anti"), check_estimate=False)
+    member = member.join(sketches.join(anchors, "id", "left"), "id").repartition("key", "pair").sortWithinPartitions("key", "pair")
+    member = member.select("key", "pair", "id", "component", "side", "n", "sketch", F.col("anchor.centre").alias("centre"), F.col("anchor.delta").alias("delta"))
+    left, left_path = materialize(member.mapInArrow(_block_pairs(level, percent), "a long, b long, sure boolean"), "blocks")
+    scratch.append(left_path)
+    links = links.unionByName(left.where("sure").select("a", "b"))
+    unsure = left.where("not sure").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
+    links = links.unionByName(ordered(confirm(unsure.select(F.col("a").alias("centre"), F.col("b").alias("id"), F.lit(False).alias("large"))).where("link")))
 
     # Repeated ids join the classes of all their texts.
     class_of = full.select("id", "digest").join(classes.select("digest", F.col("id").alias("rep")), "digest").select("id", "rep").distinct()
