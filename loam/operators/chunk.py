@@ -125,7 +125,8 @@ def cut(text: str, target: int, most: int, least: int, separator: str) -> list[s
     weight = lambda c: sum(map(token_count, c))
     if len(chunks) > 1 and weight(chunks[-1]) < least:
         if weight(chunks[-2]) + weight(chunks[-1]) <= most:
-            chunks[-2] += chunks.pop()
+            tail = chunks.pop()
+            chunks[-1] += tail
         else:
             while len(chunks[-2]) > 1 and weight(chunks[-1]) < least:
                 chunks[-1].insert(0, chunks[-2].pop())

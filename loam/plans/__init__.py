@@ -1 +1,6 @@
+"""Named queries over the tables of a folder."""
 
+from loam.plans import conversations, documents, evaluation, extras
+from loam.plans.registry import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL", "conversations", "documents", "evaluation", "extras"]

@@ -180,7 +180,7 @@ def steady_throughput(spark, d):
     """Events per second of each session without its first 20 events."""
     k = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
     rows = table(spark, d, "events").withColumn("k", k).where("k > 20")
-    seconds = F.unix_micros(F.max("ts")) / 1e6 - F.unix_micros(F.min("ts")) / 1e6
+    seconds = F.unix_micros(F.max("ts").cast("timestamp")) / 1e6 - F.unix_micros(F.min("ts").cast("timestamp")) / 1e6
     return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_steady"), ((F.count(F.lit(1)) - 1) / F.nullif(seconds, F.lit(0.0))).alias("per_second"))
 
 
@@ -198,7 +198,7 @@ def backlog_rollup(spark, d):
     """WITH l AS (SELECT event_type, user_id, round(epoch(max(ts)) - epoch(min(ts)))::BIGINT AS span FROM events GROUP BY ALL) SELECT event_type, count(*) AS sessions, sum(span)::BIGINT AS seconds FROM l GROUP BY event_type"""
 )
 def session_hours(spark, d):
-    span = F.round(F.unix_micros(F.max("ts")) / 1e6 - F.unix_micros(F.min("ts")) / 1e6).cast("long")
+    span = F.round(F.unix_micros(F.max("ts").cast("timestamp")) / 1e6 - F.unix_micros(F.min("ts").cast("timestamp")) / 1e6).cast("long")
     return table(spark, d, "events").groupBy("event_type", "user_id").agg(span.alias("span")).groupBy("event_type").agg(F.count(F.lit(1)).alias("sessions"), F.sum("span").alias("seconds"))
 
 
