@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loam.functions import text as T
-from loam.operators import minhash, sample
+from loam.operators import minhash, repair, sample
 from loam.plans.documents import FUNNEL_SQL, with_status
 from loam.plans.registry import query, table
 from loam.sources import readers
+from loam.session import ship
 from loam.streaming import ingest
 
 
@@ -84,3 +85,19 @@ def vocabulary_measures(spark, d):
     of = lambda c: F.sum(F.when(F.col(c).isNotNull(), F.col("k")).otherwise(0))
     n = F.sum("k")
     return both.groupBy("doc_id").agg(n.alias("n_words"), ((n - of("known")) / n).alias("unknown_rate"), (of("back") / n - of("known") / n).alias("reversed_gain"))
+
+
+@query()
+def phone_masks(spark, d):
+    ship(spark)
+    rows = table(spark, d, "documents").withColumn("p", repair.mask_phones("text"))
+    return rows.select("doc_id", F.col("p.n").alias("n_phones"), F.sha2("p.text", 256).alias("masked_sha256"))
+
+
+@query()
+def repeat_guard(spark, d):
+    """Repetitions of each document and the reasons they give."""
+    ship(spark)
+    rows = table(spark, d, "documents").withColumn("r", repair.repeat_stats("text"))
+    reasons = F.array_compact(F.array(F.when(F.col("r.char_run") >= 20, "char_run"), F.when(F.col("r.gram4") >= 8, "loop"), F.when(F.col("r.line_run") >= 5, "line_run")))
+    return rows.select("doc_id", "r.*", F.array_join(reasons, ",").alias("reasons"))
