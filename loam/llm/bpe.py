@@ -31,7 +31,7 @@ from loam.llm.textcodes import small_batches
 from loam.session import ship
 
 #: Units that a worker remembers.
-CACHE = 1_000_000
+CACHE = 2_000_000
 _NONE = 1 << 62
 _PLACE = 40
 

@@ -27,11 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loam.llm.bpe import UnitEncoder, packed
+from loam.llm.bpe import packed
 from loam.llm.textcodes import small_batches
+from loam.llm.unit_table import UnitTable
 from loam.session import materialize, scratch_path, ship
 
-BITS, LANES, BLOCK_IDS, CHECKPOINT_STEPS = 20, 1024, 1 << 19, 128
+BITS, LANES, BLOCK_IDS, CHECKPOINT_STEPS = 20, 2048, 1 << 19, 128
 END_ID = 0
 _HEAD = struct.Struct("<4sIIIIII")
 _MAGIC = b"LRB1"
@@ -146,7 +147,7 @@ class Block:
 
 @lru_cache(maxsize=1)
 def _library(path: str):
-    """Text to little-endian ids with the tokenizers library."""
+    """A function from a column of texts to (counts, ids) with the tokenizers library, and the bytes of an id."""
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -167,17 +168,45 @@ def _library(path: str):
     def plain(text: str) -> bytes:
         return packed(own.encode(text, add_special_tokens=False).ids)
 
-    return (UnitEncoder(plain).encode if apart else plain), own.get_vocab_size()
+    line_end = own.encode("\n", add_special_tokens=False).ids
+
+    def together(units: list[str]) -> list[bytes]:
+        """Ids of units (" x" or a line end and "x", no other white space) from a few long texts.
+
+        Line ends part the units; the library cuts there, and only they yield the line end's id.
+        """
+        out: list[bytes] = [b""] * len(units)
+        for lead in (" ", "\n"):
+            mine = [i for i, u in enumerate(units) if u[0] == lead]
+            for at in range(0, len(mine), 1000):
+                some = mine[at : at + 1000]
+                joined = "\n" + "\n".join(units[i].removeprefix("\n") for i in some) + "\n"
+                ids = np.array(own.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+                cuts, raw = (4 * np.flatnonzero(ids == line_end[0])).tolist(), ids.tobytes()
+                for i, low, high in zip(some, cuts[:-1], cuts[1:], strict=True):
+                    out[i] = raw[low + 4 if lead == " " else low : high]
+        return out
+
+    width = 2 if own.get_vocab_size() <= 1 << 16 else 4
+    if apart and len(line_end) == 1:
+        return UnitTable(plain, together, width).encode, width
+
+    def whole(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        codes = [plain(x) if x else b"" for x in column.to_pylist()]
+        return np.array([len(c) // 4 for c in codes], np.int64), np.frombuffer(b"".join(codes), "<u4").astype(f"<u{width}")
+
+    return whole, width
 
 
 def _tokenized(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, size = _library(path)
-        kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
+        encode, width = _library(path)
         for whole in batches:
             for batch in small_batches(whole, "text"):
-                ids = [np.frombuffer(encode(x or ""), "<u4").astype(kind).tobytes() for x in batch.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([kind.itemsize] * len(ids), pa.int32()), pa.array(ids, pa.binary())], names=["id", "width", "ids"])
+                counts, ids = encode(batch.column("text"))
+                ends = np.concatenate([[0], np.cumsum(counts * width)]).astype(np.int32)
+                column = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(ids.tobytes())])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.full(len(counts), width, np.int32)), column], names=["id", "width", "ids"])
 
     return run
 
