@@ -150,7 +150,7 @@ def _likely(level: float):
             value, total = estimate(one, two, n_one, n_two)
             link = worth_checking(value, total, level) & (np.minimum(n_one, n_two) >= level * np.maximum(n_one, n_two) - 1e-9)
             anchor = batch.column("large").to_numpy(zero_copy_only=False) & worth_checking(value, total, ANCHOR_LEVEL)
-            yield batch.select(["centre", "id", "large"]).filter(pa.array(link | anchor))
+            yield batch.select(["centre", "id", "large", "met"]).filter(pa.array(link | anchor))
 
     return run
 
@@ -194,7 +194,7 @@ def _set_batches(k: int, wanted):
 
 
 def _confirmed(percent: int):
-    """(centre, id, link, delta): whether the pair is a link; for large buckets the difference of the sets."""
+    """(centre, id, met, link, delta): whether the pair is a link; for large buckets the difference of the sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,7 +205,7 @@ def _confirmed(percent: int):
                 links.append(100 * shared >= percent * (len(x) + len(y) - shared))
                 deltas.append(np.setxor1d(x, y, assume_unique=True).tobytes() if large else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("centre"), batch.column("id"), pa.array(links, pa.bool_()), pa.array(deltas, pa.binary())], names=["centre", "id", "link", "delta"]
+                [*(batch.column(c) for c in ("centre", "id", "met")), pa.array(links, pa.bool_()), pa.array(deltas, pa.binary())], names=["centre", "id", "met", "link", "delta"]
             )
 
     return run
@@ -310,12 +310,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         return rows.where("id is not null").mapInArrow(_set_batches(k, _filter(ends)), "id long, shingles binary")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        """(centre, id, link, delta) of (centre, id, large) pairs, from their full sets."""
+        """(centre, id, met, link, delta) of (centre, id, large, met) pairs, from their full sets."""
         pairs, path = materialize(pairs, "likely")
         sets = sets_of(pairs.select(F.col("centre").alias("id")).union(pairs.select("id")))
         one = lambda x, y: sets.select(F.col("id").alias(x), F.col("shingles").alias(y))
         sure = pairs.join(one("id", "set_b"), "id").join(one("centre", "set_a"), "centre")
-        sure, sure_path = materialize(sure.mapInArrow(_confirmed(percent), "centre long, id long, link boolean, delta binary"), "confirmed")
+        sure, sure_path = materialize(sure.mapInArrow(_confirmed(percent), "centre long, id long, met long, link boolean, delta binary"), "confirmed")
         scratch.extend([path, sure_path])
         return sure
 
@@ -331,22 +331,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     # Stars: in each bucket all members against two centres: the member that meets most others over all its
     # buckets (the least changed copy of a group), and one by hash.
     met = members.groupBy("id").agg((-F.sum("size")).alias("met"))
-    popular, any_one = F.struct("met", F.xxhash64("id").alias("h"), "id"), F.struct(F.xxhash64("id", F.lit(1)).alias("h"), "id")
-    centres = members.join(met, "id").groupBy("key").agg(F.min(popular)["id"].alias("one"), F.min(any_one)["id"].alias("two"))
-    star = members.join(centres, "key").select("id", "large", F.explode(F.array("one", "two")).alias("centre")).where("id <> centre")
-    star = star.groupBy("centre", "id").agg(F.max("large").alias("large"))
+    popular, any_one = F.struct("met", F.xxhash64("id").alias("h"), "id"), F.struct(F.xxhash64("id", F.lit(1)).alias("h"), "id", "met")
+    two = lambda c: F.struct(c["id"].alias("centre"), c["met"].alias("met"))
+    centres = members.join(met, "id").groupBy("key").agg(F.array(two(F.min(popular)), two(F.min(any_one))).alias("centres"))
+    star = members.join(centres, "key").select("id", "large", F.inline("centres")).where("id <> centre")
+    star = star.groupBy("centre", "id").agg(F.max("large").alias("large"), F.min("met").alias("met"))
     side = lambda x, y: sketches.select(F.col("id").alias(x), F.col("n").alias(f"n_{y}"), F.col("sketch").alias(f"sketch_{y}"))
-    likely = star.join(side("id", "b"), "id").join(side("centre", "a"), "centre").mapInArrow(_likely(level), "centre long, id long, large boolean")
+    likely = star.join(side("id", "b"), "id").join(side("centre", "a"), "centre").mapInArrow(_likely(level), "centre long, id long, large boolean, met long")
     sure = confirm(likely)
     tested, links = ordered(sure), ordered(sure.where("link"))
-    anchors = sure.where("delta is not null").select("centre", "id", "delta")
+    anchors = sure.where("delta is not null").select("centre", "id", "met", "delta")
     now = labelled()
 
     # Blocks: what is left of the buckets that several components share.
-    many = anchors.groupBy("centre").agg(F.count(F.lit(1)).alias("followers"))
-    nothing = F.lit(b"").cast("binary")
-    anchors = anchors.unionByName(many.select("centre", F.col("centre").alias("id"), nothing.alias("delta")))
-    anchors = anchors.join(many, "centre").groupBy("id").agg(F.max_by(F.struct("centre", "delta"), F.struct("followers", "centre")).alias("anchor"))
+    # A member's anchor is the centre that meets most others: members of a group agree on it without a count.
+    own = anchors.groupBy("centre").agg(F.min("met").alias("met")).select("centre", F.col("centre").alias("id"), "met", F.lit(b"").cast("binary").alias("delta"))
+    anchors = anchors.unionByName(own).groupBy("id").agg(F.min_by(F.struct("centre", "delta"), F.struct("met", "centre")).alias("anchor"))
     still = now.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     still = still.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     member = now.join(still, "key").withColumn("block", F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int"))
@@ -364,7 +364,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     scratch.append(left_path)
     links = links.unionByName(left.where("sure").select("a", "b"))
     unsure = left.where("not sure").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-    links = links.unionByName(ordered(confirm(unsure.select(F.col("a").alias("centre"), F.col("b").alias("id"), F.lit(False).alias("large"))).where("link")))
+    links = links.unionByName(ordered(confirm(unsure.select(F.col("a").alias("centre"), F.col("b").alias("id"), F.lit(False).alias("large"), F.lit(0).cast("long").alias("met"))).where("link")))
 
     # Repeated ids join the classes of all their texts.
     class_of = full.select("id", "digest").join(classes.select("digest", F.col("id").alias("rep")), "digest").select("id", "rep").distinct()
