@@ -100,9 +100,15 @@ def pieces(data: np.ndarray, offsets: np.ndarray, allowed: np.ndarray) -> Iterat
 
 def word_hashes(column: pa.Array, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words (A-Z lower-cased) in order, and the n + 1 word offsets of the documents."""
+    hashes, at, _ = word_and_stem_hashes(column, allowed, ())
+    return hashes, at
+
+
+def word_and_stem_hashes(column: pa.Array, allowed: np.ndarray, stems: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """word_hashes(), and for each length in stems the hash of so many first bytes of every word (0 if it has fewer)."""
     data, offsets = raw_text(column)
     n = len(offsets) - 1
-    counts, parts = np.zeros(n, np.int64), []
+    counts, parts, starts = np.zeros(n, np.int64), [], [[] for _ in stems]
     for _, start, end in pieces(data, offsets, allowed):
         if end == start:
             continue
@@ -126,10 +132,13 @@ def word_hashes(column: pa.Array, allowed: np.ndarray) -> tuple[np.ndarray, np.n
             far = place > 255
             term[far] = mix(term[far] + (place[far] >> 8).astype(np.uint64) * _GOLD)
         parts.append(mix(np.add.reduceat(term, begin) ^ (length.astype(np.uint64) * _GOLD)))
+        for size, found in zip(stems, starts, strict=True):
+            code = mix(np.add.reduceat(np.where(place < size, term, np.uint64(0)), begin) ^ np.uint64(size << 32))
+            found.append(np.where(length >= size, code, np.uint64(0)))
         owner = np.searchsorted(offsets, first + start, side="right") - 1
         counts += np.bincount(owner, minlength=n)
-    hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-    return hashes, np.concatenate([[0], np.cumsum(counts)])
+    joined = lambda x: np.concatenate(x) if x else np.zeros(0, np.uint64)
+    return joined(parts), np.concatenate([[0], np.cumsum(counts)]), [joined(x) for x in starts]
 
 
 _FACTORS = mix(np.arange(1, 65, dtype=np.uint64) * _GOLD) | np.uint64(1)

@@ -5,9 +5,10 @@ A linear model over hashed words is trained, with numpy, from confirmed toxic do
 step goes the other way. The class prior is the share of toxic rows among all usable labels. The margin is then
 turned into a probability by Platt scaling on a bounded sample of labelled rows of both kinds.
 
-A document is a set of words (A-Z lower-cased, runs of letters and digits), hashed to 2^BITS buckets. Only words
-whose share of documents differs clearly between P and U (LEVEL standard errors) get a weight, and an L1 step keeps
-the weights sparse, so the length of a document doesn't drive its score. Scores read nothing but the text.
+A document is a set of words (A-Z lower-cased, runs of letters and digits) and of the beginnings of words, hashed
+to 2^BITS buckets. Only those that are clearly more frequent in P than in U (telling_words) get a
+weight, and an L1 step keeps the weights sparse, so the length of a document doesn't drive its score. Scores read
+nothing but the text.
 """
 
 from __future__ import annotations
@@ -21,19 +22,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loam.llm.sampling import hash_order, thinned
-from loam.llm.textcodes import ALNUM, small_batches, word_hashes
+from loam.llm.textcodes import ALNUM, mix, small_batches, word_and_stem_hashes
 from loam.session import ship
 
-BITS, MIN_DOCS, LEVEL = 18, 4, 5.0
+BITS, MIN_DOCS, LEVEL = 20, 4, 4.5
+#: Bytes of the beginnings of words that count as words too: stems tell where endings vary.
+STEMS = (4, 5, 6)
 #: Bounds on the documents that the model is fitted on: confirmed toxic, unlabelled, and for the scaling.
 POSITIVE_ROWS, UNLABELLED_ROWS, SCALE_ROWS = 2000, 6000, 3000
 
 
 def document_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of each document's words, and the n + 1 offsets of the documents."""
-    words, at = word_hashes(texts, ALNUM)
-    owner = np.repeat(np.arange(len(at) - 1), np.diff(at)).astype(np.uint64)
-    both = np.unique(owner << np.uint64(BITS) | words >> np.uint64(64 - BITS))
+    """Distinct buckets of each document's words and stems, and the n + 1 offsets of the documents."""
+    words, at, stems = word_and_stem_hashes(texts, ALNUM, STEMS)
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(at)).astype(np.uint64) << np.uint64(BITS)
+    parts = [owner | words >> np.uint64(64 - BITS)]
+    for codes in stems:
+        some = codes != 0
+        parts.append(owner[some] | codes[some] >> np.uint64(64 - BITS))
+    both = np.unique(np.concatenate(parts))
     rows = (both >> np.uint64(BITS)).astype(np.int64)
     return (both & np.uint64((1 << BITS) - 1)).astype(np.int64), np.searchsorted(rows, np.arange(len(at)))
 
@@ -59,49 +66,75 @@ class Rows:
     def owner(self) -> np.ndarray:
         return np.repeat(np.arange(len(self)), np.diff(self.offset))
 
+    def only(self, live: np.ndarray) -> Rows:
+        """The sets without buckets that aren't live."""
+        keep = live[self.bucket]
+        return Rows(self.bucket[keep], np.concatenate([[0], np.cumsum(np.bincount(self.owner[keep], minlength=len(self)))]).astype(np.int64))
+
+    @property
+    def share(self) -> np.ndarray:
+        """1 / root of the size: a document's margin is the sum of its words' weights over that root."""
+        return 1 / np.sqrt(np.maximum(np.diff(self.offset), 1))
+
+    def without_copies(self) -> Rows:
+        """The sets without those that agree with an earlier one in a pair of min-hashes: near copies of it, mostly."""
+        if not len(self.bucket):
+            return self
+        solid = np.flatnonzero(np.diff(self.offset))
+        x, seen, keep = self.bucket.astype(np.uint64) + np.uint64(1), set(), np.ones(len(self), bool)
+        low = [np.minimum.reduceat(mix(x * f), self.offset[solid]) for f in mix(np.arange(1, 7, dtype=np.uint64)) | np.uint64(1)]
+        for row, i in enumerate(solid.tolist()):
+            pairs = [(k, int(low[k][row]), int(low[k + 1][row])) for k in (0, 2, 4)]
+            keep[i] = not any(p in seen for p in pairs)
+            seen.update(pairs)
+        return self.take(np.flatnonzero(keep))
+
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.owner, weights[self.bucket], minlength=len(self))
+        return self.share * np.bincount(self.owner, weights[self.bucket], minlength=len(self))
 
     def gradient(self, slope: np.ndarray, size: int) -> np.ndarray:
-        return np.bincount(self.bucket, slope[self.owner], minlength=size)
+        return np.bincount(self.bucket, (slope * self.share)[self.owner], minlength=size)
 
 
-def telling_words(positive: Rows, unlabelled: Rows, level: float = LEVEL) -> np.ndarray:
-    """Buckets whose share of documents differs between P and U by level standard errors at least."""
+def telling_words(positive: Rows, unlabelled: Rows, prior: float, level: float = LEVEL) -> np.ndarray:
+    """Buckets that speak for P: more frequent than in U by level standard errors, and toxic in three of five cases.
+
+    A share prior of U is toxic, so prior * share in P / share in U is the chance that a document of U with the word
+    is toxic; ordinary words, whatever their frequency, are near the prior.
+    """
     p, u = (np.bincount(r.bucket, minlength=1 << BITS) for r in (positive, unlabelled))
-    share = (p + u) / (len(positive) + len(unlabelled))
+    in_p, in_u, share = p / len(positive), u / len(unlabelled), (p + u) / (len(positive) + len(unlabelled))
     error = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / len(positive) + 1 / len(unlabelled)))
-    return np.flatnonzero((np.abs(p / len(positive) - u / len(unlabelled)) >= level * error) & (p + u >= MIN_DOCS))
+    return np.flatnonzero((in_p - in_u >= level * error) & (prior * in_p >= 0.6 * in_u) & (p + u >= MIN_DOCS))
 
 
-def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, steps: int = 500, batch: int = 512, rate: float = 0.05, l1: float = 5e-3, seed: int = 11) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear model under the non-negative PU risk with the logistic loss (Adam)."""
-    live = telling_words(positive, unlabelled)
-    n = len(live)
-    place = np.full(1 << BITS, n)
-    place[live] = np.arange(n)
-    w = np.zeros(n + 2)  # the last two: words without a weight, the bias
+def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, steps: int = 500, batch: int = 512, rate: float = 0.05, l1: float = 1e-3, seed: int = 11) -> tuple[np.ndarray, float, np.ndarray]:
+    """Weights, bias and live buckets of a linear model under the non-negative PU risk with the sigmoid loss (Adam)."""
+    live = np.zeros(1 << BITS, bool)
+    live[telling_words(positive, unlabelled, prior)] = True
+    n = int(live.sum())
+    place = np.cumsum(live) - 1
+    w = np.zeros(n + 1)  # the last one is the bias
     m, v = np.zeros_like(w), np.zeros_like(w)
     draw = np.random.default_rng(seed)
-    packed = [Rows(place[r.bucket], r.offset) for r in (positive, unlabelled)]
+    packed = [Rows(place[r.bucket], r.offset) for r in (positive.only(live), unlabelled.only(live))]
     for step in range(1, steps + 1):
         parts = [r.take(draw.integers(0, len(r), min(batch, len(r)))) for r in packed]
         z_p, z_u = (r.dot(w) + w[-1] for r in parts)
-        negative = np.logaddexp(0, z_u).mean() - prior * np.logaddexp(0, z_p).mean()
         s_p, s_u = (1 / (1 + np.exp(-np.clip(z, -40, 40))) for z in (z_p, z_u))
-        if negative >= 0:  # slope of prior * (l(z, +) - l(z, -)) is -prior everywhere
-            g_p, g_u = np.full(len(z_p), -prior / len(z_p)), s_u / len(z_u)
+        slope_p, slope_u = s_p * (1 - s_p) / len(z_p), s_u * (1 - s_u) / len(z_u)
+        if s_u.mean() - prior * s_p.mean() >= 0:  # the loss of calling z negative is s(z), of calling it positive s(-z)
+            g_p, g_u = -2 * prior * slope_p, slope_u
         else:
-            g_p, g_u = prior * s_p / len(z_p), -s_u / len(z_u)
-        g = parts[0].gradient(g_p, n + 2) + parts[1].gradient(g_u, n + 2)
-        g[n], g[n + 1] = 0, g_p.sum() + g_u.sum()
+            g_p, g_u = prior * slope_p, -slope_u
+        g = parts[0].gradient(g_p, n + 1) + parts[1].gradient(g_u, n + 1)
+        g[n] = g_p.sum() + g_u.sum()
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w[:n] = np.sign(w[:n]) * np.maximum(np.abs(w[:n]) - l1, 0)
-        w[n] = 0
     out = np.zeros(1 << BITS)
     out[live] = w[:n]
-    return out, float(w[-1])
+    return out, float(w[-1]), live
 
 
 def fit_scale(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -127,10 +160,11 @@ class Model:
     weights: np.ndarray
     bias: float
     scale: tuple[float, float]
+    live: np.ndarray
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         bucket, at = document_words(texts)
-        z = Rows(bucket, at).dot(self.weights) + self.bias
+        z = Rows(bucket, at).only(self.live).dot(self.weights) + self.bias
         return 1 / (1 + np.exp(-np.clip(self.scale[0] * z + self.scale[1], -40, 40)))
 
 
@@ -158,7 +192,7 @@ def train(
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     prior = sizes.get(1, 0) / max(1, sum(sizes.values()))
     n_docs = docs.where(usable).select(F.count(F.lit(1))).first()[0]
-    empty = Model(np.zeros(1 << BITS), float(np.log((prior + 1e-6) / (1 - prior + 1e-6))), (1.0, 0.0))
+    empty = Model(np.zeros(1 << BITS), float(np.log((prior + 1e-6) / (1 - prior + 1e-6))), (1.0, 0.0), np.zeros(1 << BITS, bool))
     if not sizes.get(1) or not n_docs:
         return empty
 
@@ -186,10 +220,10 @@ def train(
         return empty
     if not len(part["u"]):  # every document is labelled: the labelled ones stand for the unlabelled
         part["u"] = Rows.of([sets[i] for i in np.flatnonzero((kinds == "1") | (kinds == "0"))])
-    weights, bias = fit_nnpu(part["p"], part["u"], prior)
-    margin = np.concatenate([part[k].dot(weights) + bias for k in ("1", "0")])
+    weights, bias, live = fit_nnpu(part["p"].without_copies(), part["u"].without_copies(), prior)
+    margin = np.concatenate([part[k].only(live).dot(weights) + bias for k in ("1", "0")])
     label = np.repeat([1.0, 0.0], [len(part["1"]), len(part["0"])])
-    return Model(weights, bias, fit_scale(margin, label, np.ones_like(margin)))
+    return Model(weights, bias, fit_scale(margin, label, np.ones_like(margin)), live)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
