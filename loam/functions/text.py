@@ -72,6 +72,16 @@ def ngrams(items: Column, n: int) -> Column:
     return let(items, grams)
 
 
+def gram_codes(items: Column, n: int) -> Column:
+    """64-bit codes of the n-grams: for counting distinct ones, where the grams themselves aren't needed."""
+
+    def codes(x: Column) -> Column:
+        some = F.transform(F.sequence(F.lit(0), F.greatest(F.size(x) - n, F.lit(0))), lambda i: F.xxhash64(*[F.get(x, i + k) for k in range(n)]))
+        return F.when(F.size(x) < n, F.array().cast("array<bigint>")).otherwise(some)
+
+    return let(items, codes)
+
+
 def any_of(phrases: list[str], text: Column) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in phrases], F.lit(False))
 

@@ -71,9 +71,9 @@ def _measured(text: Column, prose: Column, words: Column, lines: Column, prose_w
         share_of_lines(lines, lambda x: size(x) < 5).alias("short_line"),
         share_of_lines(lines, lambda x: F.regexp_like(x, F.lit(r"^([-•*–·►▪]|[0-9]+[.)])[ \t]"))).alias("bullet"),
         share_of_lines(lines, ends).alias("end_punct"),
-        share_of_lines(lines, lambda x: (size(x) < 15) & T.any_of(BOILERPLATE, F.lower(x))).alias("boilerplate_line"),
-        T.repeated_share(T.ngrams(prose_words, 3), 30).alias("rep_trigram"),
-        T.repeated_share(T.ngrams(words, 3), 30).alias("rep_trigram_raw"),
+        share_of_lines(lines, lambda x: F.regexp_like(F.lower(x), F.lit("|".join(BOILERPLATE))) & (size(x) < 15)).alias("boilerplate_line"),
+        T.repeated_share(T.gram_codes(prose_words, 3), 30).alias("rep_trigram"),
+        T.repeated_share(T.gram_codes(words, 3), 30).alias("rep_trigram_raw"),
         T.diacritic_share(prose).alias("vi_diacritic"),
         F.size(lines).alias("lines"),
         T.count_of(text, r"[\x{E000}-\x{F8FF}]").alias("pua_chars"),
