@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loam.functions import text as T
+from loam.functions.edit import edit_distance
 from loam.operators import dedup, quality, vectors
 from loam.plans.documents import FUNNEL_SQL, METRICS_SQL, with_status
 from loam.plans.registry import query, table
@@ -86,16 +87,21 @@ ENGINES_SQL = """
 """
 
 
-def _engines(spark: SparkSession, d: str) -> DataFrame:
-    """Pages (documents) with the outputs of three stand-in engines; a missing output is a row with the reason no_output."""
+def _engines(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
+    """Pages (documents) with the outputs of three stand-in engines; a missing output is a row with the reason no_output.
+
+    The reference is the first 300 characters, as in ENGINES_SQL, or the whole text; outputs are shares of it.
+    """
     names = F.explode(F.array(*[F.struct(F.lit(n).alias("engine"), F.lit(i).alias("tier")) for i, n in enumerate(("alpha", "beta", "gamma"))])).alias("e")
     rows = table(spark, d, "documents").select(F.col("doc_id").alias("page_id"), F.col("text"), names).select("page_id", "text", "e.engine", "e.tier")
-    ref, text = F.left("text", F.lit(300)), F.col("text")
+    text = F.col("text")
+    part = lambda x, n: F.left(x, F.floor(F.length(x) * n / 300).cast("int") if whole else F.lit(n))
+    ref = part(text, 300)
     raw = (
         F.when((F.col("engine") == "beta") & (F.pmod("page_id", F.lit(7)) == 0), F.lit(None).cast("string"))
-        .when(F.col("engine") == "alpha", F.left(text, F.lit(300)))
-        .when(F.col("engine") == "beta", F.left(F.translate(text, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.lit(280)))
-        .otherwise(F.concat(F.left(text, F.lit(290)), F.lit(" end")))
+        .when(F.col("engine") == "alpha", part(text, 300))
+        .when(F.col("engine") == "beta", part(F.translate(text, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), 280))
+        .otherwise(F.concat(part(text, 290), F.lit(" end")))
     )
     rows = rows.select("page_id", "engine", "tier", ref.alias("ref"), raw.alias("raw"))
     n, m = F.length("raw"), F.length("ref")
@@ -171,21 +177,25 @@ def word_overlap(spark, d):
     return c.groupBy("page_id").agg((2 * F.sum(F.least("a", "g")) / F.sum(F.col("a") + F.col("g"))).alias("dice"))
 
 
+#: Resamples of the paired bootstrap, as in the reference.
+RESAMPLES = 2000
+
+
 @query()
 def bootstrap_interval(spark, d):
-    """Paired bootstrap of the difference of two engines' error rates; a resample weighs pages by Poisson draws."""
+    """Paired bootstrap of the difference of two engines' error rates over whole texts; a resample weighs pages by Poisson draws."""
     ship(spark)
     plain = lambda c: F.regexp_replace(T.body(F.col(c)), r"[^\x20-\x7E]", "")
-    rows = _engines(spark, d).where("engine <> 'gamma'").select("page_id", "engine", F.levenshtein(plain("raw"), plain("ref")).alias("dist"), F.length(plain("ref")).alias("n"))
+    rows = _engines(spark, d, whole=True).where("engine <> 'gamma'").select("page_id", "engine", edit_distance(plain("raw"), plain("ref")).alias("dist"), F.length(plain("ref")).alias("n"))
     pages = rows.groupBy("page_id").agg(F.sum(F.when(F.col("engine") == "alpha", F.col("dist")).otherwise(-F.col("dist"))).alias("diff"), F.max("n").alias("n"))
 
     def draw(batches):
-        total = np.zeros((400, 2))
+        total = np.zeros((RESAMPLES, 2))
         for batch in batches:
             for page, diff, n in zip(batch["page_id"], batch["diff"], batch["n"], strict=True):
-                weight = np.random.default_rng([17, int(page)]).poisson(1.0, 400)
+                weight = np.random.default_rng([17, int(page)]).poisson(1.0, RESAMPLES)
                 total += weight[:, None] * np.array([[float(diff), float(n)]])
-        yield pd.DataFrame({"i": range(400), "diff": total[:, 0], "n": total[:, 1]})
+        yield pd.DataFrame({"i": range(RESAMPLES), "diff": total[:, 0], "n": total[:, 1]})
 
     sums = pages.mapInPandas(draw, "i int, diff double, n double").groupBy("i").agg((F.sum("diff") / F.sum("n")).alias("delta"))
     return sums.agg(F.percentile("delta", 0.025).alias("low"), F.percentile("delta", 0.975).alias("high"), F.count(F.lit(1)).alias("resamples"))
