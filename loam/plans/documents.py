@@ -465,3 +465,14 @@ def content_inventory(spark, d):
     few = rows.groupBy("content_sha256").agg(F.count(F.lit(1)).alias("n")).where("n BETWEEN 2 AND 50")
     ids = rows.join(few, "content_sha256").groupBy("content_sha256", "n").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
     return ids.select("content_sha256", F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("ids"), "n")
+
+
+@query("SELECT content_sha256, doc_id, count(*) OVER (PARTITION BY content_sha256) AS n FROM (SELECT sha256(coalesce(text, '')) AS content_sha256, doc_id FROM documents)")
+def content_copies(spark, d):
+    """The whole inventory: a row for each document with its content and the number of its copies, however many."""
+    rows = table(spark, d, "documents").select("doc_id", F.sha2(T.body(F.col("text")), 256).alias("content_sha256"))
+    several = rows.groupBy("content_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # A content of many copies meets its count in several tasks.
+    salted = several.select("content_sha256", "n", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
+    rows = rows.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(16)), F.lit(0)).cast("int"))
+    return rows.join(salted, ["content_sha256", "salt"], "left").select("content_sha256", "doc_id", F.coalesce("n", F.lit(1).cast("long")).alias("n"))

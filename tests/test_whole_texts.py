@@ -35,3 +35,9 @@ def test_bootstrap_sees_whole_texts(spark, tmp_path):
     delta = -_brute_force(text.upper()[: len(text) * 280 // 300], text) / len(text)
     assert row["resamples"] == 2000
     assert abs(row["low"] - delta) < 1e-9 and abs(row["high"] - delta) < 1e-9
+
+
+def test_inventory_keeps_contents_of_many_copies(spark, tmp_path):
+    texts = {i: "hot" for i in range(60)} | {i: "pair" for i in range(60, 62)} | {62: "single", 63: None}
+    got = {r["doc_id"]: r["n"] for r in QUERIES["content_copies"](spark, _folder(spark, tmp_path, texts)).collect()}
+    assert got == {i: 60 if i < 60 else 2 if i < 62 else 1 for i in texts}
