@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loam.functions import text as T
+from loam.functions.edit import edit_distance
 from loam.operators import dedup, language, quality
 from loam.plans.registry import query, table
+from loam.session import ship
 
 PROFILE = quality.Profile(min_words=20, min_alpha=0.55, languages=("en", "fr", "de", "es"), min_lang_score=0.65, web_checks=True)
 _PHRASES = ", ".join(f"'{p}'" for p in quality.BOILERPLATE)
@@ -476,3 +478,11 @@ def content_copies(spark, d):
     salted = several.select("content_sha256", "n", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
     rows = rows.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(16)), F.lit(0)).cast("int"))
     return rows.join(salted, ["content_sha256", "salt"], "left").select("content_sha256", "doc_id", F.coalesce("n", F.lit(1).cast("long")).alias("n"))
+
+
+@query()
+def whole_case_distances(spark, d):
+    """Edit distance of the printable characters of a whole text to their capitals; latex_and_case sees the first 200."""
+    ship(spark)
+    plain = F.regexp_replace("text", r"[^\x20-\x7E]", "")
+    return table(spark, d, "documents").select("doc_id", edit_distance(plain, F.upper(plain)).alias("case_distance"))

@@ -37,6 +37,13 @@ def test_bootstrap_sees_whole_texts(spark, tmp_path):
     assert abs(row["low"] - delta) < 1e-9 and abs(row["high"] - delta) < 1e-9
 
 
+def test_case_distance_sees_whole_texts(spark, tmp_path):
+    texts = {1: "A1 " * 80 + "then lower case", 2: "lower first " * 20 + "THEN CAPITALS " * 9, 3: None, 4: "", 5: "đường " * 50}
+    got = {r["doc_id"]: r["case_distance"] for r in QUERIES["whole_case_distances"](spark, _folder(spark, tmp_path, texts)).collect()}
+    plain = {i: None if t is None else "".join(c for c in t if " " <= c <= "~") for i, t in texts.items()}
+    assert got == {i: None if t is None else _brute_force(t, t.upper()) for i, t in plain.items()}
+
+
 def test_inventory_keeps_contents_of_many_copies(spark, tmp_path):
     texts = {i: "hot" for i in range(60)} | {i: "pair" for i in range(60, 62)} | {62: "single", 63: None}
     got = {r["doc_id"]: r["n"] for r in QUERIES["content_copies"](spark, _folder(spark, tmp_path, texts)).collect()}
