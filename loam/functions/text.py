@@ -38,6 +38,11 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(body(text), F.lit(r"([^ \t\n\r]+)"), F.lit(1))
 
 
+def chars_of(text: Column, kind: str) -> Column:
+    """How many characters belong to a class, given as the inside of brackets; the others are cut out, nothing is listed."""
+    return F.length(F.regexp_replace(body(text), f"[^{kind}]+", ""))
+
+
 def word_count(text: Column) -> Column:
     return count_of(text, r"[^ \t\n\r]+")
 
@@ -52,11 +57,11 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def nonspace(text: Column) -> Column:
-    return count_of(text, r"[^ \t\n\r]")
+    return F.length(F.translate(body(text), " \t\n\r", ""))
 
 
 def letters(text: Column) -> Column:
-    return count_of(text, r"\p{L}")
+    return chars_of(text, r"\p{L}")
 
 
 def repeated_share(items: Column, least: int) -> Column:
@@ -64,6 +69,22 @@ def repeated_share(items: Column, least: int) -> Column:
     return let(items, lambda x: F.when(F.size(x) < least, F.lit(0.0)).otherwise(1 - F.size(F.array_distinct(x)) / F.size(x)))
 
 
+def distinct_loss(items: Column, least: int) -> Column:
+    """As repeated_share(), of a column."""
+    return F.when(F.size(items) < least, F.lit(0.0)).otherwise(1 - F.size(F.array_distinct(items)) / F.size(items))
+
+
+def most_equal(codes: Column) -> Column:
+    """How often the commonest value of an array of numbers occurs; 0 if it is empty."""
+    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.lit(0).cast("bigint").alias("run"), F.lit(0).cast("bigint").alias("best"))
+
+    def step(s: Column, x: Column) -> Column:
+        run = F.when(s["last"] == x, s["run"] + 1).otherwise(F.lit(1).cast("bigint"))
+        return F.struct(x.alias("last"), run.alias("run"), F.greatest(s["best"], run).alias("best"))
+
+    return F.aggregate(F.array_sort(codes), start, step, lambda s: s["best"])
+
+
 def ngrams(items: Column, n: int) -> Column:
     def grams(x: Column) -> Column:
         some = F.transform(F.sequence(F.lit(1), F.greatest(F.size(x) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(x, i, n), " "))
@@ -97,15 +118,25 @@ def strip_marks(text: Column) -> Column:
 
 def diacritic_share(text: Column, alphabet: str = VI_LETTERS) -> Column:
     lower = F.lower(body(text))
-    return ratio(count_of(lower, f"[{alphabet}]"), letters(lower))
+    return ratio(chars_of(lower, alphabet), letters(lower))
 
 
-def math_free(text: Column) -> Column:
-    """Text without code fences, display math and bracketed math."""
+def unfenced(text: Column) -> Column:
+    """Text without code fences and bracketed math."""
     out = F.regexp_replace(body(text), r"(?s)```.*?```", " ")
     out = F.regexp_replace(out, r"(?s)\\\[.*?\\\]", " ")
-    out = F.regexp_replace(out, r"(?s)\\\(.*?\\\)", " ")
-    return F.when(F.pmod(count_of(out, r"\$\$"), F.lit(2)) == 0, F.regexp_replace(out, r"(?s)\$\$.*?\$\$", " ")).otherwise(out)
+    return F.regexp_replace(out, r"(?s)\\\(.*?\\\)", " ")
+
+
+def without_display_math(text: Column) -> Column:
+    """Text without what stands between double dollars, if their number is even."""
+    doubles = (F.length(text) - F.length(F.replace(text, F.lit("$$"), F.lit("")))) / 2
+    return F.when(F.pmod(doubles, F.lit(2)) == 0, F.regexp_replace(text, r"(?s)\$\$.*?\$\$", " ")).otherwise(text)
+
+
+def math_free(text: Column) -> Column:
+    """Text without code fences, display math and bracketed math."""
+    return without_display_math(unfenced(text))
 
 
 def math_share(text: Column) -> Column:

@@ -11,19 +11,15 @@ from pyspark.sql import functions as F
 from loam.functions import text as T
 
 
-def exact_families(docs: DataFrame, id_col: str, text_col: str, order: list) -> DataFrame:
-    """(id, representative, family_id, family_size, dup_kind): the first row in order represents equal texts.
+def with_families(docs: DataFrame, id_col: str, digest_col: str, order: list) -> DataFrame:
+    """docs with representative, family_id, family_size and dup_kind: the first row in order represents equal digests.
 
-    order is a list of columns that ends in the id; the representative is found by aggregation, so a frequent text
-    isn't gathered in one task.
+    order is a list of columns that ends in the id; the representative is found by aggregation and joined by the digest,
+    so a frequent text isn't gathered in one task, and rows that repeat an id or have none stay as many as they are.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.sha2(T.body(F.col(text_col)), 256).alias("sha"), F.struct(*order).alias("rank"))
-    heads = rows.groupBy("sha").agg(F.min_by("id", "rank").alias("representative"), F.count(F.lit(1)).alias("family_size"))
-    out = rows.select("id", "sha").join(heads, "sha")
-    return out.select(
-        F.col("id").alias(id_col), "representative", T.family_id(F.col("representative")).alias("family_id"), "family_size",
-        F.when(F.col("id") != F.col("representative"), F.lit("exact")).alias("dup_kind"),
-    )
+    heads = docs.groupBy(F.col(digest_col).alias("__digest")).agg(F.min_by(id_col, F.struct(*order)).alias("representative"), F.count(F.lit(1)).alias("family_size"))
+    out = docs.join(heads, F.col(digest_col) == F.col("__digest")).drop("__digest")
+    return out.withColumn("family_id", T.family_id(F.col("representative"))).withColumn("dup_kind", F.when(F.col(id_col) != F.col("representative"), F.lit("exact")))
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str, separator: str, min_words: int) -> DataFrame:

@@ -36,67 +36,85 @@ class Profile:
     languages: tuple[str, ...] = ("vi",)
     min_lang_score: float = 0.65
     web_checks: bool = False
+    odd_words: bool = False
 
 
 def share_of_lines(lines: Column, keep) -> Column:
     return T.ratio(F.size(F.filter(lines, keep)), F.size(lines))
 
 
-def metrics(text: Column) -> Column:
-    """A struct of the native metrics; ratios are over the text without math and code."""
-    return T.let(F.struct(T.math_free(text).alias("prose"), T.words(text).alias("words"), T.lines(text).alias("lines")), lambda x: _metrics(text, x))
-
-
-def _metrics(text: Column, known: Column) -> Column:
-    more = F.struct(T.words(known["prose"]).alias("words"), T.nonspace(known["prose"]).alias("solid"), T.letters(known["prose"]).alias("alpha"))
-    return T.let(more, lambda x: _measured(text, known["prose"], known["words"], known["lines"], x["words"], x["solid"], x["alpha"]))
-
+def with_metrics(docs: DataFrame, text_col: str = "text", out: str = "m") -> DataFrame:
+    """docs with a struct of the native metrics; ratios are over the text without math and code.
 
-def _measured(text: Column, prose: Column, words: Column, lines: Column, prose_words: Column, solid: Column, alpha: Column) -> Column:
-    worded = F.filter(lines, lambda x: F.regexp_like(x, F.lit(r"\p{L}")))
-    size = lambda x: F.size(T.words(x))
+    The intermediate values are columns of their own in earlier projections, so each is computed once, in generated code
+    wherever no lambda is needed.
+    """
+    text, q = F.col(f"`{text_col}`"), lambda name: F.col(f"__{name}")
     ends = lambda x: reduce(lambda a, b: a | b, [F.endswith(x, F.lit(e)) for e in ENDINGS])
-    return F.struct(
-        F.size(words).alias("words"),
-        F.size(prose_words).alias("prose_words"),
-        F.when(T.nonspace(text) == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), 1 - solid / T.nonspace(text))).alias("math_share"),
-        T.ratio(alpha, solid).alias("alpha"),
-        T.ratio(T.count_of(prose, r"\p{Nd}"), solid).alias("digit"),
-        T.ratio(T.count_of(prose, r"[^\p{L}\p{N} \t\n\r]"), solid).alias("symbol"),
-        T.ratio(T.count_of(prose, r"\p{Lu}"), alpha).alias("upper"),
-        T.ratio(T.count_of(text, "�"), T.nonspace(text)).alias("replacement"),
-        T.ratio(T.nonspace(prose), F.size(prose_words)).alias("mean_word_len"),
-        T.ratio(T.count_of(text, r"https?://[^ \t\n\r]+|www\.[^ \t\n\r]+"), F.size(words)).alias("url"),
-        T.repeated_share(worded, 5).alias("dup_line"),
-        share_of_lines(lines, lambda x: size(x) < 5).alias("short_line"),
-        share_of_lines(lines, lambda x: F.regexp_like(x, F.lit(r"^([-•*–·►▪]|[0-9]+[.)])[ \t]"))).alias("bullet"),
-        share_of_lines(lines, ends).alias("end_punct"),
-        share_of_lines(lines, lambda x: F.regexp_like(F.lower(x), F.lit("|".join(BOILERPLATE))) & (size(x) < 15)).alias("boilerplate_line"),
-        T.repeated_share(T.gram_codes(prose_words, 3), 30).alias("rep_trigram"),
-        T.repeated_share(T.gram_codes(words, 3), 30).alias("rep_trigram_raw"),
-        T.diacritic_share(prose).alias("vi_diacritic"),
-        F.size(lines).alias("lines"),
-        T.count_of(text, r"[\x{E000}-\x{F8FF}]").alias("pua_chars"),
-        T.count_of(text, r"[\x{0600}-\x{06FF}\x{0900}-\x{0EFF}]").alias("junk_script_chars"),
-    )
-
-
-def with_metrics(docs: DataFrame, text_col: str = "text", out: str = "m") -> DataFrame:
-    return docs.withColumn(out, metrics(F.col(text_col)))
+    phrase = F.lit("|".join(BOILERPLATE))
+    steps = [
+        {"open": T.unfenced(text)},
+        {"prose": T.without_display_math(q("open")), "words": T.words(text), "lines": T.lines(text), "whole": T.nonspace(text)},
+        {"prose_words": T.words(q("prose")), "solid": T.nonspace(q("prose")), "alpha": T.letters(q("prose")), "low": F.lower(q("prose"))},
+        {
+            "trigrams": T.gram_codes(q("prose_words"), 3),
+            "raw_trigrams": T.gram_codes(q("words"), 3),
+            "worded": F.filter(q("lines"), lambda x: F.regexp_like(x, F.lit(r"\p{L}"))),
+            "sized": F.transform(q("lines"), lambda x: F.struct(x.alias("line"), F.size(T.words(x)).alias("n"))),
+        },
+    ]
+    measured = {
+        "words": F.size(q("words")),
+        "prose_words": F.size(q("prose_words")),
+        "math_share": F.when(q("whole") == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), 1 - q("solid") / q("whole"))),
+        "alpha": T.ratio(q("alpha"), q("solid")),
+        "digit": T.ratio(T.chars_of(q("prose"), r"\p{Nd}"), q("solid")),
+        "symbol": T.ratio(q("solid") - F.length(F.regexp_replace(q("prose"), r"[^\p{L}\p{N}]+", "")), q("solid")),
+        "upper": T.ratio(T.chars_of(q("prose"), r"\p{Lu}"), q("alpha")),
+        "replacement": T.ratio(T.chars_of(text, "�"), q("whole")),
+        "mean_word_len": T.ratio(q("solid"), F.size(q("prose_words"))),
+        "url": T.ratio(T.count_of(text, r"https?://[^ \t\n\r]+|www\.[^ \t\n\r]+"), F.size(q("words"))),
+        "dup_line": T.distinct_loss(q("worded"), 5),
+        "short_line": share_of_lines(q("sized"), lambda x: x["n"] < 5),
+        "bullet": share_of_lines(q("lines"), lambda x: F.regexp_like(x, F.lit(r"^([-•*–·►▪]|[0-9]+[.)])[ \t]"))),
+        "end_punct": share_of_lines(q("lines"), ends),
+        "boilerplate_line": share_of_lines(q("sized"), lambda x: (x["n"] < 15) & F.regexp_like(F.lower(x["line"]), phrase)),
+        "rep_trigram": T.distinct_loss(q("trigrams"), 30),
+        "rep_trigram_raw": T.distinct_loss(q("raw_trigrams"), 30),
+        "vi_diacritic": T.ratio(T.chars_of(q("low"), T.VI_LETTERS), T.letters(q("low"))),
+        "lines": F.size(q("lines")),
+        "pua_chars": T.chars_of(text, r"\x{E000}-\x{F8FF}"),
+        "junk_script_chars": T.chars_of(text, r"\x{0600}-\x{06FF}\x{0900}-\x{0EFF}"),
+    }
+    made = docs
+    for step in steps:
+        made = made.select("*", *[value.alias(f"__{name}") for name, value in step.items()])
+    made = made.select(*[F.col(f"`{c}`") for c in docs.columns if c != out], *[value.alias(f"__m_{name}") for name, value in measured.items()])
+    return made.select(*[F.col(f"`{c}`") for c in docs.columns if c != out], F.struct(*[F.col(f"__m_{name}").alias(name) for name in measured]).alias(out))
 
 
 def _codes(*pairs: tuple[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in pairs]))
 
 
-def scored(docs: DataFrame, lang: Column, lang_score: Column, profile: Profile = Profile(), m: str = "m") -> DataFrame:
-    """docs with reason_codes, quality_score and quality_band."""
-    out = docs.withColumn("__j", T.let(F.col(m), lambda v: judged(v, lang, lang_score, profile)))
-    return out.select("*", "__j.*").drop("__j")
+#: Metrics that other operators add; rules that need one apply only where the struct has it.
+EXTRA = ("garbled", "unaccented", "reversed_gain", "dropped_letters", "hyphen_lost", "odd_word", "perplexity", "mixed", "ref_line")
 
 
-def judged(m: Column, lang: Column, lang_score: Column, profile: Profile) -> Column:
-    """Codes, score and band of one document's metrics, as a struct."""
+def scored(docs: DataFrame, lang: Column, lang_score: Column, profile: Profile = Profile(), m: str = "m") -> DataFrame:
+    """docs with reason_codes, quality_score and quality_band."""
+    extra = tuple(f.name for f in docs.schema[m].dataType.fields if f.name in EXTRA)
+    hard, soft, lost = judged(F.col(m), lang, lang_score, profile, extra)
+    empty, cut = F.col(f"{m}.words") == 0, F.size("__hard") > 0
+    out = docs.select("*", hard.alias("__hard"), soft.alias("__soft"), F.greatest(F.lit(0.0), 100.0 - lost).alias("__full"))
+    score = F.when(empty, F.lit(0.0)).when(cut, F.least(F.lit(40.0), F.col("__full"))).otherwise(F.col("__full"))
+    out = out.select("*", F.concat("__hard", "__soft").alias("reason_codes"), score.alias("quality_score")).drop("__hard", "__soft", "__full")
+    return out.withColumn("quality_band", band_of(F.col("quality_score")))
+
+
+def judged(m: Column, lang: Column, lang_score: Column, profile: Profile, extra: tuple[str, ...] = ()) -> tuple[Column, Column, Column]:
+    """Hard codes, soft codes and the sum of the penalties of one document's metrics; extra names those of EXTRA it has."""
+    of = lambda name, *rule: [rule] if name in extra else []
     x = lambda name: m[name]
     math_only = (x("prose_words") < 20) & (x("math_share") >= 0.3)
     plain = ~math_only
@@ -109,8 +127,13 @@ def judged(m: Column, lang: Column, lang_score: Column, profile: Profile) -> Col
         ("replacement_chars", x("replacement") > 0.005),
         ("repeated_ngrams", ((x("rep_trigram") > 0.5) & plain) | (x("rep_trigram_raw") >= 0.8)),
         ("duplicate_lines", x("dup_line") > 0.5),
+        *of("garbled", "garbled_font", x("garbled") >= 0.08),
         ("private_use_chars", x("pua_chars") >= 5),
         ("math_font_junk", x("junk_script_chars") >= 5),
+        *of("unaccented", "lost_diacritics", x("unaccented") >= 0.02),
+        *of("reversed_gain", "reversed_text", x("reversed_gain") >= 0.25),
+        *of("hyphen_lost", "lost_letters", x("hyphen_lost") >= 3),
+        *(of("odd_word", "odd_words", (x("odd_word") >= 0.15) | (x("odd_word") >= 0.08) & (F.coalesce(x("perplexity"), F.lit(0.0)) >= 120)) if profile.odd_words and "perplexity" in extra else []),
     )
     some = x("words") > 0
     soft = [
@@ -123,7 +146,10 @@ def judged(m: Column, lang: Column, lang_score: Column, profile: Profile) -> Col
         ("some_replacement_chars", 10, x("replacement") > 0.0005),
         ("lang_unknown", 0, lang == "und"),
         ("low_lang_score", 10, (lang != "und") & (lang_score < profile.min_lang_score)),
+        *of("mixed", "mixed_language", 0, x("mixed")),
         ("low_diacritic", 15, (lang == "vi") & (x("words") >= 20) & (x("vi_diacritic") < 0.05)),
+        *of("ref_line", "reference_list", 0, x("ref_line") >= 0.5),
+        *of("perplexity", "high_perplexity", 10, x("perplexity") >= 120),
     ]
     if profile.web_checks:
         long = x("lines") >= 5
@@ -136,14 +162,7 @@ def judged(m: Column, lang: Column, lang_score: Column, profile: Profile) -> Col
         ]
     lost = reduce(lambda a, b: a + b, [F.when(F.coalesce(c, F.lit(False)), F.lit(p)).otherwise(0) for _, p, c in soft])
     soft_codes = _codes(*[(name, c & some) for name, _, c in soft])
-    full = F.greatest(F.lit(0.0), 100.0 - lost)
-
-    def finished(codes: Column) -> Column:
-        score = F.when(x("words") == 0, F.lit(0.0)).when(F.size(codes) > 0, F.least(F.lit(40.0), full)).otherwise(full)
-        banded = F.struct(F.concat(codes, soft_codes).alias("c"), score.alias("s"))
-        return T.let(banded, lambda v: F.struct(v["c"].alias("reason_codes"), v["s"].alias("quality_score"), band_of(v["s"]).alias("quality_band")))
-
-    return T.let(hard, finished)
+    return hard, soft_codes, lost
 
 
 def band_of(score: Column) -> Column:

@@ -6,94 +6,26 @@ import re
 from collections import Counter
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-#: A Vietnamese number (0 or +84 and 8 to 10 more digits, parted by blank, point or dash), and one with a
-#: bare country code.
-_PHONE = re.compile(r"(?<![\w.])(?:\+84|0)(?:[\s.-]?\d){8,10}(?![\w])")
-_ABROAD = re.compile(r"(?<![\w.,/+-])84[\s-]?[35789](?:[\s-]?\d){8}(?![\w.,])")
-_GROUPED = re.compile(r"\d{1,3}(?:\s\d{3}){2,}")
-_REFERENCE = re.compile(r"^\s*(?:\[\d{1,3}\]|\d{1,3}[.)])\s+\S.*(?:\b(?:19|20)\d{2}\b)")
-_DIGITS = re.compile(r"\d+")
-
-
-def is_phone(found: str) -> bool:
-    """One block of 10 or 11 digits, or blocks of which the first has 2 to 4 digits and all others 3 at least."""
-    first, *rest = [x for x in re.split(r"[\s.-]+", found.strip()) if x]
-    if not rest:
-        return len(_DIGITS.findall(first)[0]) in (10, 11)
-    return len(first.lstrip("+")) in (2, 3, 4) and min(map(len, rest)) >= 3
-
-
-def masked_phones(text: str) -> tuple[str, int]:
-    """The text with <PHONE> for every number, and how many there were; figures of tables stay."""
-    count = Counter()
-
-    def hide(keep):
-        def replaced(match: re.Match) -> str:
-            if not keep(match[0]):
-                return match[0]
-            count["n"] += 1
-            return "<PHONE>"
-
-        return replaced
-
-    text = _PHONE.sub(hide(is_phone), text)
-    text = _ABROAD.sub(hide(lambda x: not _GROUPED.fullmatch(x.strip())), text)
-    return text, count["n"]
-
-
-_MASKED = StructType([StructField("text", StringType()), StructField("n", IntegerType())])
-
-
-@F.pandas_udf(_MASKED)
-def mask_phones(text: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame(text.fillna("").map(masked_phones).tolist(), columns=["text", "n"], index=text.index)
-
-
-def reference_share(text: str) -> float:
-    """Share of non-blank lines that belong to reference entries; an entry carries three lines after it at most."""
-    lines = [x for x in text.split("\n") if x.strip()]
-    flags, carried = [], 3
-    for x in lines:
-        if _REFERENCE.match(x):
-            carried = 0
-            flags.append(True)
-        else:
-            carried += 1
-            flags.append(carried <= 3 and any(flags) and x[:1].islower())
-    return sum(flags) / max(1, len(lines)) if len(lines) >= 5 else 0.0
-
-
-def cleaned_pages(pages: list[str | None]) -> str:
-    """Pages as paragraphs, without edge lines that repeat over three pages and without bare numbers.
-
-    Lines are compared with their digits blanked; a line that ends in a dash after an ASCII letter is glued to the
-    next one, others of a paragraph are joined by a blank.
-    """
-    split = [[x.strip() for x in (p or "").split("\n")] for p in pages]
-    shape = lambda x: _DIGITS.sub("#", x)
-    edges = Counter(k for p in split for k in {shape(x) for x in [y for y in p if y][:2] + [y for y in p if y][-2:]})
-    out: list[str] = []
-    for page in split:
-        solid = [i for i, x in enumerate(page) if x]
-        edge = {*solid[:2], *solid[-2:]}
-        paragraph = ""
-        for i, line in enumerate([*page, ""]):
-            if not line:
-                if paragraph:
-                    out.append(paragraph)
-                paragraph = ""
-            elif not (_DIGITS.fullmatch(line) or i in edge and edges[shape(line)] >= 3):
-                glued = re.search(r"[A-Za-z]-$", paragraph)
-                paragraph = paragraph[:-1] + line if glued else f"{paragraph} {line}".strip()
-    return "\n\n".join(out)
+#: A phone number: ten or eleven digits in one block after 0 or +84, or a prefix of two to four digits and groups of three
+#: or four; and a bare country code before a mobile number in one block or in dashed groups. Blanks alone don't group
+#: after a bare 84, as such figures stand in tables.
+PHONE = (
+    r"(?<![\w.])(?:\+84\d{8,9}|0\d{9,10}|(?:\+84|0\d{1,3})(?:[\s.-]\d{3,4}){2,3})(?!\w)"
+    r"|(?<![\w.,/+-])84[\s-]?[35789](?:\d{8}|\d{1,2}(?:-\d{3}){2})(?![\w.,])"
+)
 
 
-@F.pandas_udf(StringType())
-def clean_pages(pages: pd.Series) -> pd.Series:
-    return pages.map(lambda x: cleaned_pages(list(x) if x is not None else []))
+def mask_phones(text: Column) -> Column:
+    """The text with <PHONE> for every number; native."""
+    return F.regexp_replace(text, PHONE, "<PHONE>")
+
+
+def phone_count(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(PHONE))
 
 
 def repeats(text: str) -> dict[str, int]:

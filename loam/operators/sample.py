@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loam.functions import text as T
-
 
 def level_fill(total: int, room: dict[str, int]) -> dict[str, int]:
     """Counts as even as possible that add up to total (or to all the room), none above its room.
@@ -24,11 +22,11 @@ def level_fill(total: int, room: dict[str, int]) -> dict[str, int]:
     return {key: out[key] for key in sorted(room)}
 
 
-def pool(docs: DataFrame, id_col: str, text_col: str, source: str, passes) -> DataFrame:
-    """Non-blank distinct texts (smallest id) with a stratum of source and length, and whether they pass the rules."""
-    size = T.word_count(F.col(text_col))
+def pool(docs: DataFrame, id_col: str, digest_col: str, size: Column, source: str, passes: Column) -> DataFrame:
+    """Distinct texts (by digest, the smallest id) that have words, with a stratum of source and length, and whether they
+    pass the rules."""
     length = F.when(size < 100, "short").when(size < 400, "medium").otherwise("long")
-    rows = docs.where(size > 0).select(F.col(id_col).alias("id"), F.sha2(text_col, 256).alias("sha"), F.concat_ws("/", source, length).alias("stratum"), passes.alias("rule_pass"))
+    rows = docs.where(size > 0).select(F.col(id_col).alias("id"), F.col(digest_col).alias("sha"), F.concat_ws("/", source, length).alias("stratum"), passes.alias("rule_pass"))
     best = F.min_by(F.struct("id", "stratum", "rule_pass"), F.col("id")).alias("b")
     return rows.groupBy("sha").agg(best).select("b.*")
 

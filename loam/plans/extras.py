@@ -8,6 +8,7 @@ from loam.functions import text as T
 from loam.operators import minhash, repair, sample
 from loam.plans.documents import FUNNEL_SQL, with_status
 from loam.plans.registry import query, table
+from loam.session import materialize
 from loam.sources import readers
 from loam.session import ship
 from loam.streaming import ingest
@@ -23,14 +24,14 @@ _STRATUM = r"source || '/' || CASE WHEN words < 100 THEN 'short' WHEN words < 40
 
 @query(f"WITH {FUNNEL_SQL} SELECT min(doc_id) AS id, arg_min({_STRATUM}, doc_id) AS stratum, arg_min(band <> 'D', doc_id) AS rule_pass FROM st WHERE words > 0 GROUP BY sha256(text)")
 def judge_pool(spark, d):
-    docs = with_status(spark, d)
-    return sample.pool(docs, "doc_id", "text", "source", F.col("quality_band") != "D")
+    return sample.pool(with_status(spark, d), "doc_id", "sha", F.col("m.words"), "source", F.col("quality_band") != "D")
 
 
 @query()
 def judge_sample(spark, d):
     """200 documents, 70 % of which pass the rules, spread evenly over sources and lengths."""
-    return sample.stratified(judge_pool(spark, d), 200)
+    pool, _ = materialize(judge_pool(spark, d), "pool")
+    return sample.stratified(pool, 200)
 
 
 @query("SELECT source || ':' || doc_id AS key, sha256(coalesce(text, '')) AS source_sha256 FROM documents")
@@ -89,9 +90,8 @@ def vocabulary_measures(spark, d):
 
 @query()
 def phone_masks(spark, d):
-    ship(spark)
-    rows = table(spark, d, "documents").withColumn("p", repair.mask_phones("text"))
-    return rows.select("doc_id", F.col("p.n").alias("n_phones"), F.sha2("p.text", 256).alias("masked_sha256"))
+    text = T.body(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", repair.phone_count(text).alias("n_phones"), F.sha2(repair.mask_phones(text), 256).alias("masked_sha256"))
 
 
 @query()
