@@ -5,7 +5,6 @@ Everything that compares documents with each other stays native; these functions
 
 from __future__ import annotations
 
-import math
 import re
 import unicodedata
 from collections import Counter
@@ -17,9 +16,11 @@ from pyspark.sql import functions as F
 
 from loam.session import ship
 
-_PAGE_LABEL = re.compile(r"^[\s\-–—.]*(?:trang|page|p\.)?\s*\d{1,4}(?:\s*/\s*\d{1,4})?[\s\-–—.]*$", re.I)
+#: A bare or labelled page number; one that is certain even where numbers may be cells of a table; a heading.
+_PAGE_NUMBER = re.compile(r"^(?:[-–—]\s*)?(?:(?:trang|page|tr\.)\s*)?\d{1,4}(?:\s*/\s*\d{1,4})?(?:\s*[-–—])?$", re.I)
+_PAGE_LABEL = re.compile(r"^(?:[-–—]\s*\d{1,4}\s*[-–—]|(?:trang|page|tr\.)\s*\d{1,4}(?:\s*/\s*\d{1,4})?)$", re.I)
+_HEADING = re.compile(r"^(?:chương|bài|mục|phần|chapter|part|section)\s+(?:\d+(?:\.\d+)*|[ivxlcdm]+)\b", re.I)
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
-_HEADING = re.compile(r"^(?:#+\s|chương\b|phần\b|mục\b|bài\b|chapter\b|section\b|part\b|[IVXLC]+\.\s|\d+(?:\.\d+)*\.?\s)", re.I)
 _KEEP = {"\n", "\t"}
 
 
@@ -47,23 +48,35 @@ def is_protected(lines: list[str]) -> bool:
     return False
 
 
-def clean_lines(text: str, short: int = 10, repeats: int = 3) -> tuple[str, list[str]]:
-    """The text without page labels, equal neighbours and often repeated short lines; and what was removed."""
+def is_lead_in(line: str) -> bool:
+    """A line that introduces what follows: it ends in a colon, emphasis marks aside."""
+    return line.rstrip(" \t*_").endswith(":")
+
+
+def clean_lines(text: str, short: int = 10, repeats: int = 3, keep_cells: bool = False, cell: int = 6) -> tuple[str, list[str]]:
+    """The text without page numbers, equal neighbours and often repeated short lines; and what was removed.
+
+    Texts with code or tables lose certain page labels only. With keep_cells a repeated line of up to cell words stays
+    if a line next to it is as short: a cell of a table that was set as lines.
+    """
     lines = text.split("\n")
     if is_protected(lines):
-        kept = [x for x in lines if not _PAGE_LABEL.match(x) or not x.strip()]
-        return "\n".join(kept), [x for x in lines if x.strip() and _PAGE_LABEL.match(x)]
+        kept = [x for x in lines if not _PAGE_LABEL.match(x.strip())]
+        return "\n".join(kept), [x for x in lines if _PAGE_LABEL.match(x.strip())]
     count = Counter(x.strip() for x in lines)
     seen, kept, removed, before = set(), [], [], None
-    for x in lines:
+    size = [len(x.split()) for x in lines]
+    for i, x in enumerate(lines):
         key = x.strip()
         if not key:
             before = None
             if kept and kept[-1] != "":
                 kept.append("")
             continue
-        often = len(key.split()) < short and count[key] >= repeats and key in seen and not key.endswith(":")
-        if key == before or _PAGE_LABEL.match(key) or often:
+        often = size[i] < short and count[key] >= repeats and key in seen and not is_lead_in(key)
+        if often and keep_cells and size[i] <= cell:
+            often = not any(0 < n <= cell for n in size[max(i - 1, 0) : i] + size[i + 1 : i + 2])
+        if key == before or _PAGE_NUMBER.match(key) or often:
             removed.append(key)
             continue
         seen.add(key)
@@ -78,34 +91,41 @@ def token_count(text: str) -> int:
     return len(text.split())
 
 
-def is_heading(line: str) -> bool:
-    return len(line.split()) < 15 and not line.rstrip().endswith(".") and bool(_HEADING.match(line.strip()))
-
-
-def _joined(parts: list[str], separator: str, target: int) -> list[str]:
-    out: list[str] = []
-    for part in parts:
-        if out and token_count(out[-1]) + token_count(part) <= target:
-            out[-1] += separator + part
-        else:
-            out.append(part)
-    return out
+def is_heading(paragraph: str) -> bool:
+    """Whether a paragraph begins with the numbered heading of a chapter or a section."""
+    line = paragraph.split("\n", 1)[0].strip()
+    return len(line.split()) < 15 and not line.endswith(".") and bool(_HEADING.match(line))
 
 
 def _pieces(paragraph: str, target: int, most: int) -> list[str]:
-    """A paragraph as pieces of at most most tokens: by lines, then sentences, then equal parts."""
+    """A paragraph as pieces of at most most tokens: by lines, then sentences, then equal parts, joined up to target.
+
+    Lines keep the line end between them, sentences and parts of one line a blank.
+    """
     if token_count(paragraph) <= most:
         return [paragraph]
-    out = []
+    parts: list[tuple[str, str]] = []
     for line in paragraph.split("\n"):
-        if token_count(line) <= most:
-            out.append(line)
-            continue
-        for sentence in _SENTENCE.split(line):
+        lead = "\n"
+        for sentence in [line] if token_count(line) <= most else _SENTENCE.split(line):
             words = sentence.split()
-            size = math.ceil(len(words) / max(1, math.ceil(len(words) / most)))
-            out += [" ".join(words[i : i + size]) for i in range(0, len(words), size)] if len(words) > most else [sentence]
-    return _joined(out, "\n", target)
+            if len(words) <= most:
+                parts.append((lead, sentence))
+            else:
+                n = -(-len(words) // most)
+                cuts = [i * len(words) // n for i in range(n + 1)]
+                parts += [(lead if i == 0 else " ", " ".join(words[a:b])) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+            lead = " "
+    out, size = [], 0
+    for lead, part in parts:
+        n = token_count(part)
+        if out and size + n <= target:
+            out[-1] += lead + part
+            size += n
+        else:
+            out.append(part)
+            size = n
+    return out
 
 
 def cut(text: str, target: int, most: int, least: int, separator: str) -> list[str]:
@@ -115,7 +135,7 @@ def cut(text: str, target: int, most: int, least: int, separator: str) -> list[s
     size = 0
     for p in paragraphs:
         n = token_count(p)
-        if chunks and ((is_heading(p.split("\n")[0]) and size >= least) or size + n > most or size >= target):
+        if chunks and ((is_heading(p) and size >= least) or size + n > most or size >= target):
             chunks.append([])
             size = 0
         if not chunks:
@@ -128,7 +148,7 @@ def cut(text: str, target: int, most: int, least: int, separator: str) -> list[s
             tail = chunks.pop()
             chunks[-1] += tail
         else:
-            while len(chunks[-2]) > 1 and weight(chunks[-1]) < least:
+            while len(chunks[-2]) > 1 and weight(chunks[-1]) < least and token_count(chunks[-2][-1]) + weight(chunks[-1]) <= most:
                 chunks[-1].insert(0, chunks[-2].pop())
     return [separator.join(c) for c in chunks]
 
