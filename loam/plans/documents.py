@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from loam.functions import text as T
 from loam.functions.edit import edit_distance
 from loam.operators import dedup, language, quality
+from loam.operators.order import numbered
 from loam.plans.registry import query, table
-from loam.session import ship
+from loam.session import materialize, ship
 
 PROFILE = quality.Profile(min_words=20, min_alpha=0.55, languages=("en", "fr", "de", "es"), min_lang_score=0.65, web_checks=True)
 _PHRASES = ", ".join(f"'{p}'" for p in quality.BOILERPLATE)
@@ -89,10 +90,14 @@ def scored_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def with_status(spark: SparkSession, d: str) -> DataFrame:
-    """Scored documents with the representative of their family and their status."""
-    docs = scored_documents(spark, d).select("doc_id", "source", "lang", "text", "m", "reason_codes", "quality_score", "quality_band")
-    families = dedup.exact_families(docs, "doc_id", "text", [-F.col("quality_score"), F.col("doc_id")])
-    docs = docs.join(families, "doc_id")
+    """Scored documents, without their texts, with the representative of their family and their status.
+
+    The scores are computed once and written to the shared scratch folder: the families and the rows read them there.
+    """
+    docs = scored_documents(spark, d)
+    docs = docs.select("doc_id", "source", "lang", F.length("text").alias("n_chars"), F.sha2(T.body(F.col("text")), 256).alias("sha"), "m", "reason_codes", "quality_score", "quality_band")
+    docs, _ = materialize(docs, "scored")
+    docs = dedup.with_families(docs, "doc_id", "sha", [-F.col("quality_score"), F.col("doc_id")])
     status = F.when(F.col("quality_band") == "D", "rejected:quality").when(F.col("doc_id") != F.col("representative"), "rejected:duplicate").otherwise("kept")
     return docs.withColumn("status", status)
 
@@ -135,7 +140,7 @@ def reason_counts(spark, d):
         FROM st GROUP BY source"""
 )
 def token_accounting(spark, d):
-    docs = with_status(spark, d).withColumn("tokens", F.ceil(F.length("text") / 4.0)).withColumn("words", F.col("m.words").cast("long"))
+    docs = with_status(spark, d).withColumn("tokens", F.ceil(F.col("n_chars") / 4.0)).withColumn("words", F.col("m.words").cast("long"))
     kept = F.col("status") == "kept"
     words_kept, tokens_kept = F.sum(F.when(kept, F.col("words")).otherwise(0)), F.sum(F.when(kept, F.col("tokens")).otherwise(0))
     out = docs.groupBy("source").agg(F.sum("words").alias("words_in"), words_kept.alias("words_kept"), F.sum("tokens").alias("tokens_in"), tokens_kept.alias("tokens_kept"))
@@ -270,13 +275,13 @@ def cross_doc_clean(spark, d):
 
 
 @query(
-    f"""WITH {LINES_SQL}, c AS (SELECT source, left(t, 200) AS line, count(*) AS n FROM lw WHERE t <> '' GROUP BY ALL HAVING count(*) >= 2)
-        SELECT source, md5(line) AS line_md5, n, r AS rank FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, line) AS r FROM c) WHERE r <= 30"""
+    f"""WITH {LINES_SQL}, c AS (SELECT source, t AS line, count(*) AS n FROM lw WHERE t <> '' GROUP BY ALL HAVING count(*) >= 2)
+        SELECT source, md5(line) AS line_md5, left(line, 200) AS shown, n, r AS rank FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, line) AS r FROM c) WHERE r <= 30"""
 )
 def top_repeated_lines(spark, d):
-    counts = _lines(spark, d).where("t <> ''").groupBy("source", F.left("t", F.lit(200)).alias("line")).agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
+    counts = _lines(spark, d).where("t <> ''").groupBy("source", F.col("t").alias("line")).agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
     rank = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("n"), "line"))
-    return counts.withColumn("rank", rank).where("rank <= 30").select("source", F.md5("line").alias("line_md5"), "n", "rank")
+    return counts.withColumn("rank", rank).where("rank <= 30").select("source", F.md5("line").alias("line_md5"), F.left("line", F.lit(200)).alias("shown"), "n", "rank")
 
 
 @query(
@@ -448,25 +453,39 @@ def length_histogram(spark, d):
     return table(spark, d, "documents").groupBy(F.least(F.greatest(F.floor(size / 500), F.lit(0)), F.lit(9)).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(
-    r"""SELECT doc_id, len(regexp_extract_all(text, '\\[a-zA-Z]+'))::INTEGER AS n_commands, len(regexp_extract_all(text, '\$'))::INTEGER AS n_dollars,
-        levenshtein(left(regexp_replace(text, '[^\x20-\x7E]', '', 'g'), 200), left(upper(regexp_replace(text, '[^\x20-\x7E]', '', 'g')), 200))::INTEGER AS case_distance FROM documents"""
-)
+@query(r"SELECT doc_id, len(regexp_extract_all(text, '\\[a-zA-Z]+'))::INTEGER AS n_commands, len(regexp_extract_all(text, '\$'))::INTEGER AS n_dollars FROM documents")
+def latex_stats(spark, d):
+    text = F.col("text")
+    return table(spark, d, "documents").select("doc_id", F.regexp_count(text, F.lit(r"\\[a-zA-Z]+")).alias("n_commands"), F.regexp_count(text, F.lit(r"\$")).alias("n_dollars"))
+
+
+@query()
 def latex_and_case(spark, d):
+    """LaTeX counts, and the edit distance of the printable characters of a whole text to their capitals."""
+    ship(spark)
     plain = F.regexp_replace("text", r"[^\x20-\x7E]", "")
     return table(spark, d, "documents").select(
-        "doc_id", T.count_of(F.col("text"), r"\\[a-zA-Z]+").alias("n_commands"), T.count_of(F.col("text"), r"\$").alias("n_dollars"),
-        F.levenshtein(F.left(plain, F.lit(200)), F.left(F.upper(plain), F.lit(200))).alias("case_distance"),
-    )
+        "doc_id", T.count_of(F.col("text"), r"\\[a-zA-Z]+").alias("n_commands"), T.count_of(F.col("text"), r"\$").alias("n_dollars"), edit_distance(plain, F.upper(plain)).alias("case_distance")
+    )
 
 
-@query("SELECT sha256(coalesce(text, '')) AS content_sha256, array_to_string(list_sort(list(doc_id)), ',') AS ids, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) BETWEEN 2 AND 50")
+@query(
+    """WITH c AS (SELECT sha256(coalesce(text, '')) AS content_sha256, doc_id FROM documents), k AS (SELECT *, (row_number() OVER (PARTITION BY content_sha256 ORDER BY doc_id) - 1) // 100 AS piece, count(*) OVER (PARTITION BY content_sha256) AS n FROM c)
+        SELECT content_sha256, piece, array_to_string(list_sort(list(doc_id)), ',') AS ids, any_value(n) AS n FROM k WHERE n >= 2 GROUP BY content_sha256, piece"""
+)
 def content_inventory(spark, d):
-    """Documents of the same content, for contents of 2 to 50 copies; larger groups are in exact_families."""
+    """Documents of the same content, in pieces of 100 ids, smallest first; n is the number of all copies of the content.
+
+    The place of an id is counted within ranges of (content, id), and the ranges' counts are added up, so that a content
+    of any number of copies is numbered by several tasks.
+    """
     rows = table(spark, d, "documents").select("doc_id", F.sha2(T.body(F.col("text")), 256).alias("content_sha256"))
-    few = rows.groupBy("content_sha256").agg(F.count(F.lit(1)).alias("n")).where("n BETWEEN 2 AND 50")
-    ids = rows.join(few, "content_sha256").groupBy("content_sha256", "n").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
-    return ids.select("content_sha256", F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("ids"), "n")
+    several = rows.groupBy("content_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows = rows.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(16)), F.lit(0)).cast("int"))
+    salted = several.select("content_sha256", "n", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
+    ranked, _ = numbered(rows.join(salted, ["content_sha256", "salt"]).drop("salt"), ["content_sha256"], ["doc_id"], "place")
+    pieces = ranked.groupBy("content_sha256", F.floor(F.col("place") / 100).cast("long").alias("piece"), "n").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
+    return pieces.select("content_sha256", "piece", F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("ids"), "n")
 
 
 @query("SELECT content_sha256, doc_id, count(*) OVER (PARTITION BY content_sha256) AS n FROM (SELECT sha256(coalesce(text, '')) AS content_sha256, doc_id FROM documents)")
@@ -478,11 +497,3 @@ def content_copies(spark, d):
     salted = several.select("content_sha256", "n", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
     rows = rows.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(16)), F.lit(0)).cast("int"))
     return rows.join(salted, ["content_sha256", "salt"], "left").select("content_sha256", "doc_id", F.coalesce("n", F.lit(1).cast("long")).alias("n"))
-
-
-@query()
-def whole_case_distances(spark, d):
-    """Edit distance of the printable characters of a whole text to their capitals; latex_and_case sees the first 200."""
-    ship(spark)
-    plain = F.regexp_replace("text", r"[^\x20-\x7E]", "")
-    return table(spark, d, "documents").select("doc_id", edit_distance(plain, F.upper(plain)).alias("case_distance"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loam.functions import text as T
-from loam.functions.edit import edit_distance
+from loam.functions.edit import edit_distance, word_distance
 from loam.operators import dedup, quality, vectors
 from loam.plans.documents import FUNNEL_SQL, METRICS_SQL, with_status
 from loam.plans.registry import query, table
@@ -58,13 +58,15 @@ def error_budget(spark, d):
 
 @query(
     f"""WITH {FLAGS_SQL}, c AS (SELECT source, detector, count(*) FILTER (flag) / count(*) AS rate, count(*) AS n FROM fl GROUP BY ALL),
-        md AS (SELECT detector, quantile_cont(rate, 0.5) AS med FROM c GROUP BY detector)
-        SELECT source, detector, rate, rate > 1.5 * med AND rate >= 0.05 AND n >= 20 AS odd FROM c JOIN md USING (detector)"""
+        md AS (SELECT detector, quantile_cont(rate, 0.5) FILTER (n >= 20) AS med, count(*) FILTER (n >= 20) AS groups FROM c GROUP BY detector)
+        SELECT source, detector, rate, coalesce(n >= 20 AND groups >= 3 AND rate > 3 * med AND rate >= 0.15, false) AS odd FROM c JOIN md USING (detector)"""
 )
 def group_anomalies(spark, d):
     c = _flags(spark, d).groupBy("source", "detector").agg((F.count_if("flag") / F.count(F.lit(1))).alias("rate"), F.count(F.lit(1)).alias("n"))
-    med = c.groupBy("detector").agg(F.percentile("rate", 0.5).alias("med"))
-    return c.join(F.broadcast(med), "detector").select("source", "detector", "rate", ((F.col("rate") > 1.5 * F.col("med")) & (F.col("rate") >= 0.05) & (F.col("n") >= 20)).alias("odd"))
+    large = F.col("n") >= 20
+    med = c.groupBy("detector").agg(F.percentile(F.when(large, F.col("rate")), 0.5).alias("med"), F.count_if(large).alias("groups"))
+    odd = large & (F.col("groups") >= 3) & (F.col("rate") > 3 * F.col("med")) & (F.col("rate") >= 0.15)
+    return c.join(med, "detector").select("source", "detector", "rate", F.coalesce(odd, F.lit(False)).alias("odd"))
 
 
 @query(
@@ -77,36 +79,49 @@ def drop_rates(spark, d):
     return r.agg((F.sum("lost") / F.sum("n")).alias("micro"), F.round(F.avg(F.col("lost") / F.col("n")), 9).alias("macro"), (F.sum(F.when(F.col("k") <= 5, F.col("n"))) / F.sum("n")).alias("top5_share"))
 
 
-ENGINES_SQL = """
+ENGINES_SQL = r"""
     en(engine, tier) AS (VALUES ('alpha', 0), ('beta', 1), ('gamma', 2)),
-    ou AS (SELECT doc_id AS page_id, engine, tier, CASE WHEN engine = 'alpha' THEN left(text, 300) WHEN engine = 'beta' THEN left(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), 280) ELSE left(text, 290) || ' end' END AS raw, left(text, 300) AS ref
-           FROM documents, en WHERE NOT (engine = 'beta' AND doc_id % 7 = 0)),
-    sc AS (SELECT d.doc_id AS page_id, en.engine, en.tier, left(d.text, 300) AS ref, ou.raw,
-           CASE WHEN ou.page_id IS NULL THEN 'no_output' WHEN trim(ou.raw) = '' THEN 'empty' WHEN length(ou.raw) > 1.15 * length(ou.ref) THEN 'too_long' WHEN length(ou.raw) < 0.85 * length(ou.ref) THEN 'too_short' END AS reason
-           FROM documents d CROSS JOIN en LEFT JOIN ou ON ou.page_id = d.doc_id AND ou.engine = en.engine)
+    ot AS (SELECT doc_id AS page_id, coalesce(text, '') AS text FROM documents),
+    ou AS (SELECT page_id, engine, tier, CASE WHEN engine = 'alpha' THEN text
+                WHEN engine = 'beta' THEN left(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), length(text) * CASE WHEN page_id % 5 = 0 THEN 15 ELSE 28 END // 30)
+                WHEN page_id % 13 = 0 THEN repeat(left(text, 60) || ' ', 8) ELSE left(text, length(text) * 29 // 30) || ' end' END AS raw
+           FROM ot, en WHERE NOT (engine = 'beta' AND page_id % 7 = 0)),
+    oj AS (SELECT ot.page_id, en.engine, en.tier, ot.text AS ref, ou.raw FROM ot CROSS JOIN en LEFT JOIN ou ON ou.page_id = ot.page_id AND ou.engine = en.engine),
+    og AS (SELECT *, regexp_extract_all(coalesce(raw, ''), '[^ \t\n\r]+') AS rw, regexp_extract_all(ref, '[^ \t\n\r]+') AS fw FROM oj),
+    ox AS (SELECT *, coalesce(list_max(map_values(list_histogram([rw[i] || ' ' || rw[i + 1] || ' ' || rw[i + 2] || ' ' || rw[i + 3] FOR i IN range(1, len(rw) - 2)]))), 0)::BIGINT AS loops,
+           coalesce(list_max(map_values(list_histogram([fw[i] || ' ' || fw[i + 1] || ' ' || fw[i + 2] || ' ' || fw[i + 3] FOR i IN range(1, len(fw) - 2)]))), 0)::BIGINT AS ref_loops FROM og),
+    sc AS (SELECT page_id, engine, tier, ref, raw, loops, CASE WHEN raw IS NULL THEN 'no_output' WHEN trim(raw) = '' THEN 'empty' WHEN loops >= 5 AND loops > 2 * ref_loops THEN 'loop'
+           WHEN length(raw) > 1.15 * length(ref) THEN 'too_long' WHEN length(raw) < 0.85 * length(ref) THEN 'too_short' END AS reason FROM ox)
 """
 
 
-def _engines(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
-    """Pages (documents) with the outputs of three stand-in engines; a missing output is a row with the reason no_output.
+def _engines(spark: SparkSession, d: str, reasons: bool = True) -> DataFrame:
+    """Pages (documents, whole) with the outputs of three stand-in engines; a missing output is a row with no_output.
 
-    The reference is the first 300 characters, as in ENGINES_SQL, or the whole text; outputs are shares of it.
+    The reason takes the first of: no_output, empty, loop (a run of four words five times, and more than twice as often
+    as in the reference), too_long and too_short (by 15 %).
     """
     names = F.explode(F.array(*[F.struct(F.lit(n).alias("engine"), F.lit(i).alias("tier")) for i, n in enumerate(("alpha", "beta", "gamma"))])).alias("e")
-    rows = table(spark, d, "documents").select(F.col("doc_id").alias("page_id"), F.col("text"), names).select("page_id", "text", "e.engine", "e.tier")
-    text = F.col("text")
-    part = lambda x, n: F.left(x, F.floor(F.length(x) * n / 300).cast("int") if whole else F.lit(n))
-    ref = part(text, 300)
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("page_id"), T.body(F.col("text")).alias("ref"), names).select("page_id", "ref", "e.engine", "e.tier")
+    text, page, engine = F.col("ref"), F.col("page_id"), F.col("engine")
+    part = lambda x, n: F.left(x, F.floor(F.length(x) * n / 30).cast("int"))
+    capitals = F.translate(text, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
     raw = (
-        F.when((F.col("engine") == "beta") & (F.pmod("page_id", F.lit(7)) == 0), F.lit(None).cast("string"))
-        .when(F.col("engine") == "alpha", part(text, 300))
-        .when(F.col("engine") == "beta", part(F.translate(text, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), 280))
-        .otherwise(F.concat(part(text, 290), F.lit(" end")))
+        F.when((engine == "beta") & (F.pmod(page, F.lit(7)) == 0), F.lit(None).cast("string"))
+        .when(engine == "alpha", text)
+        .when(engine == "beta", part(capitals, F.when(F.pmod(page, F.lit(5)) == 0, 15).otherwise(28)))
+        .when(F.pmod(page, F.lit(13)) == 0, F.repeat(F.concat(F.left(text, F.lit(60)), F.lit(" ")), F.lit(8)))
+        .otherwise(F.concat(part(text, F.lit(29)), F.lit(" end")))
     )
-    rows = rows.select("page_id", "engine", "tier", ref.alias("ref"), raw.alias("raw"))
+    rows = rows.select("page_id", "engine", "tier", "ref", raw.alias("raw"))
+    if not reasons:
+        return rows
+    grams = lambda c: T.gram_codes(T.words(F.col(c)), 4)
+    rows = rows.select("*", T.most_equal(grams("raw")).alias("loops"), T.most_equal(grams("ref")).alias("ref_loops"))
     n, m = F.length("raw"), F.length("ref")
-    reason = F.when(F.col("raw").isNull(), "no_output").when(F.trim("raw") == "", "empty").when(n > 1.15 * m, "too_long").when(n < 0.85 * m, "too_short")
-    return rows.withColumn("reason", reason)
+    loop = (F.col("loops") >= 5) & (F.col("loops") > 2 * F.col("ref_loops"))
+    reason = F.when(F.col("raw").isNull(), "no_output").when(F.trim("raw") == "", "empty").when(loop, "loop").when(n > 1.15 * m, "too_long").when(n < 0.85 * m, "too_short")
+    return rows.withColumn("reason", reason).drop("ref_loops")
 
 
 @query(f"WITH {ENGINES_SQL} SELECT page_id, engine, reason, length(raw) AS n_chars FROM sc")
@@ -134,34 +149,76 @@ def cascade_reach(spark, d):
     return tiers.select("tier", (F.sum("n").over(up) / F.sum("n").over(Window.partitionBy())).alias("reach"))
 
 
+@query()
+def engine_error_rates(spark, d):
+    """Character and word error rates over whole texts, a page's distance capped at its reference."""
+    ship(spark)
+    rows = _engines(spark, d, reasons=False).withColumn("raw", T.body(F.col("raw")))
+    n, words = F.length("ref"), T.word_count(F.col("ref"))
+    rows = rows.select("engine", F.least(edit_distance("raw", "ref"), n).alias("dist"), n.alias("n"), F.least(word_distance("raw", "ref"), words).alias("word_dist"), words.alias("n_words"))
+    rate = lambda a, b: F.sum(a) / F.nullif(F.sum(b), F.lit(0))
+    return rows.groupBy("engine").agg(
+        F.sum("dist").alias("dist"), F.sum("n").alias("n"), rate("dist", "n").alias("cer"), F.sum("word_dist").alias("word_dist"), F.sum("n_words").alias("n_words"), rate("word_dist", "n_words").alias("wer")
+    )
+
+
 @query(
-    f"""WITH {ENGINES_SQL}, x AS (SELECT engine, least(levenshtein(regexp_replace(coalesce(raw, ''), '[^\\x20-\\x7E]', '', 'g'), regexp_replace(ref, '[^\\x20-\\x7E]', '', 'g')), length(regexp_replace(ref, '[^\\x20-\\x7E]', '', 'g'))) AS dist, length(regexp_replace(ref, '[^\\x20-\\x7E]', '', 'g')) AS n FROM sc)
-        SELECT engine, sum(dist)::BIGINT AS dist, sum(n)::BIGINT AS n, sum(dist) / nullif(sum(n), 0) AS cer FROM x GROUP BY engine"""
+    f"""WITH {ENGINES_SQL}, w AS (SELECT page_id, engine, 0 AS side, unnest(regexp_extract_all(lower(raw), '[\\p{{L}}\\p{{N}}]+')) AS t FROM sc WHERE raw IS NOT NULL
+            UNION ALL SELECT page_id, engine, 1, unnest(regexp_extract_all(lower(ref), '[\\p{{L}}\\p{{N}}]+')) FROM sc WHERE raw IS NOT NULL),
+        c AS (SELECT page_id, engine, t, count(*) FILTER (side = 0) AS a, count(*) FILTER (side = 1) AS b FROM w GROUP BY ALL),
+        f AS (SELECT page_id, engine, 2 * sum(least(a, b)) / sum(a + b) AS f1 FROM c GROUP BY ALL),
+        s AS (SELECT page_id, engine, len(regexp_extract_all(ref, '[^ -~]'))::BIGINT AS special, length(coalesce(raw, '')) - length(regexp_replace(coalesce(raw, ''), '[^ -~]', '', 'g')) AS found FROM sc)
+        SELECT engine, count(f1) AS pages, round(avg(f1), 9) AS bag_f1, sum(special)::BIGINT AS special, sum(least(special, found))::BIGINT AS special_found, sum(least(special, found)) / nullif(sum(special), 0) AS special_recall
+        FROM s LEFT JOIN f USING (page_id, engine) GROUP BY engine"""
 )
-def engine_error_rates(spark, d):
-    """Character error rates, a page's distance capped at its reference (ASCII characters)."""
-    plain = lambda c: F.regexp_replace(T.body(F.col(c)), r"[^\x20-\x7E]", "")
-    rows = _engines(spark, d).select("engine", F.least(F.levenshtein(plain("raw"), plain("ref")), F.length(plain("ref"))).alias("dist"), F.length(plain("ref")).alias("n"))
-    return rows.groupBy("engine").agg(F.sum("dist").alias("dist"), F.sum("n").alias("n"), (F.sum("dist") / F.nullif(F.sum("n"), F.lit(0))).alias("cer"))
+def engine_bags(spark, d):
+    """Bag-of-words F1 of each output with its reference, averaged over pages, and how many special characters survive."""
+    rows = _engines(spark, d, reasons=False)
+    tokens = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+    some = rows.where("raw IS NOT NULL")
+    own = some.select("page_id", "engine", F.explode(tokens("raw")).alias("t"), F.lit(1).alias("a"), F.lit(0).alias("b"))
+    own = own.unionByName(some.select("page_id", "engine", F.explode(tokens("ref")).alias("t"), F.lit(0).alias("a"), F.lit(1).alias("b")))
+    bags = own.groupBy("page_id", "engine", "t").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    f1 = bags.groupBy("page_id", "engine").agg((2 * F.sum(F.least("a", "b")) / F.sum(F.col("a") + F.col("b"))).alias("f1"))
+    odd = lambda c: T.chars_of(F.col(c), "\u0000-\u001f\u007f-\U0010ffff")
+    rows = rows.select("page_id", "engine", odd("ref").cast("long").alias("special"), odd("raw").cast("long").alias("found")).join(f1, ["page_id", "engine"], "left")
+    kept = F.sum(F.least("special", "found"))
+    return rows.groupBy("engine").agg(
+        F.count("f1").alias("pages"), F.round(F.avg("f1"), 9).alias("bag_f1"), F.sum("special").alias("special"), kept.alias("special_found"), (kept / F.nullif(F.sum("special"), F.lit(0))).alias("special_recall")
+    )
 
 
 @query(
-    f"""WITH {ENGINES_SQL}, p AS (SELECT engine, page_id, length(raw) AS n, median(length(raw)) OVER (PARTITION BY page_id) AS med, reason FROM sc WHERE raw IS NOT NULL)
-        SELECT engine, count(*) AS pages, avg((n < 0.9 * med)::INTEGER) AS short_share, count(*) FILTER (reason = 'empty') AS empty FROM p GROUP BY engine"""
+    f"""WITH {ENGINES_SQL}, v AS (SELECT w FROM (SELECT DISTINCT page_id, unnest(regexp_extract_all(lower(ref), '[\\p{{L}}]+')) AS w FROM sc) GROUP BY w HAVING count(*) >= 2),
+        t AS (SELECT engine, count(*) AS n_words, count(*) FILTER (w NOT IN (SELECT w FROM v)) AS unknown FROM (SELECT engine, unnest(regexp_extract_all(lower(raw), '[\\p{{L}}]+')) AS w FROM sc) GROUP BY engine),
+        p AS (SELECT engine, page_id, raw, length(raw) AS n, median(length(raw)) OVER (PARTITION BY page_id) AS med, reason FROM sc WHERE raw IS NOT NULL)
+        SELECT engine, count(*) AS pages, avg((n < 0.9 * med)::INTEGER) AS short_share, count(*) FILTER (reason = 'empty') AS empty, count(*) FILTER (reason = 'loop') AS loops, count(*) FILTER (reason = 'too_short') AS cut,
+            1000 * sum(length(raw) - length(replace(raw, '?', ''))) / nullif(sum(n), 0) AS question_marks, any_value(unknown) / nullif(any_value(n_words), 0) AS unknown_rate FROM p LEFT JOIN t USING (engine) GROUP BY engine"""
 )
 def engine_lengths(spark, d):
-    """Outputs against the page's median length over the engines: no reference needed."""
+    """Measures without a reference: lengths against the page's median over the engines, question marks for a thousand
+    characters, counts of reasons, and the share of words that occur in fewer than two pages of the corpus."""
     rows = _engines(spark, d).where("raw IS NOT NULL").withColumn("n", F.length("raw"))
+    words = lambda c: F.explode(F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}]+)"), F.lit(1))).alias("w")
+    tokens = F.array_distinct(F.regexp_extract_all(F.lower(T.body(F.col("text"))), F.lit(r"([\p{L}]+)"), F.lit(1)))
+    known = table(spark, d, "documents").select(F.explode(tokens).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("df")).where("df >= 2").select("w", F.lit(1).alias("known"))
+    used = rows.select("engine", words("raw")).groupBy("engine", "w").agg(F.count(F.lit(1)).alias("k")).join(known, "w", "left")
+    used = used.groupBy("engine").agg((F.sum(F.when(F.col("known").isNull(), F.col("k")).otherwise(0)) / F.sum("k")).alias("unknown_rate"))
     med = rows.groupBy("page_id").agg(F.percentile("n", 0.5).alias("med"))
-    rows = rows.join(med, "page_id")
-    return rows.groupBy("engine").agg(F.count(F.lit(1)).alias("pages"), F.avg((F.col("n") < 0.9 * F.col("med")).cast("int")).alias("short_share"), F.count_if(F.col("reason") == "empty").alias("empty"))
+    marks = F.length("raw") - F.length(F.replace("raw", F.lit("?"), F.lit("")))
+    is_ = lambda x: F.count_if(F.col("reason") == x)
+    out = rows.join(med, "page_id").groupBy("engine").agg(
+        F.count(F.lit(1)).alias("pages"), F.avg((F.col("n") < 0.9 * F.col("med")).cast("int")).alias("short_share"), is_("empty").alias("empty"), is_("loop").alias("loops"), is_("too_short").alias("cut"),
+        (1000 * F.sum(marks) / F.nullif(F.sum("n"), F.lit(0))).alias("question_marks"),
+    )
+    return out.join(used, "engine", "left")
 
 
 @query(f"WITH {ENGINES_SQL} SELECT engine, page_id, r AS rank FROM (SELECT engine, page_id, row_number() OVER (PARTITION BY engine ORDER BY coalesce(length(raw), 0), page_id) AS r FROM sc) WHERE r <= 10")
 def worst_pages(spark, d):
     """The ten pages with least output for each engine."""
     k = F.row_number().over(Window.partitionBy("engine").orderBy(F.coalesce(F.length("raw"), F.lit(0)), "page_id"))
-    return _engines(spark, d).select("engine", "page_id", k.alias("rank")).where("rank <= 10")
+    return _engines(spark, d, reasons=False).select("engine", "page_id", k.alias("rank")).where("rank <= 10")
 
 
 @query(
@@ -171,7 +228,7 @@ def worst_pages(spark, d):
 )
 def word_overlap(spark, d):
     """Dice overlap of the word multisets of two engines' outputs."""
-    rows = _engines(spark, d).where("engine IN ('alpha', 'gamma') AND raw IS NOT NULL")
+    rows = _engines(spark, d, reasons=False).where("engine IN ('alpha', 'gamma') AND raw IS NOT NULL")
     w = rows.select("page_id", "engine", F.explode(F.regexp_extract_all(F.lower("raw"), F.lit(r"([\p{L}]+)"), F.lit(1))).alias("t"))
     c = w.groupBy("page_id", "t").agg(F.count_if(F.col("engine") == "alpha").alias("a"), F.count_if(F.col("engine") == "gamma").alias("g"))
     return c.groupBy("page_id").agg((2 * F.sum(F.least("a", "g")) / F.sum(F.col("a") + F.col("g"))).alias("dice"))
@@ -186,7 +243,7 @@ def bootstrap_interval(spark, d):
     """Paired bootstrap of the difference of two engines' error rates over whole texts; a resample weighs pages by Poisson draws."""
     ship(spark)
     plain = lambda c: F.regexp_replace(T.body(F.col(c)), r"[^\x20-\x7E]", "")
-    rows = _engines(spark, d, whole=True).where("engine <> 'gamma'").select("page_id", "engine", edit_distance(plain("raw"), plain("ref")).alias("dist"), F.length(plain("ref")).alias("n"))
+    rows = _engines(spark, d, reasons=False).where("engine <> 'gamma'").select("page_id", "engine", edit_distance(plain("raw"), plain("ref")).alias("dist"), F.length(plain("ref")).alias("n"))
     pages = rows.groupBy("page_id").agg(F.sum(F.when(F.col("engine") == "alpha", F.col("dist")).otherwise(-F.col("dist"))).alias("diff"), F.max("n").alias("n"))
 
     def draw(batches):
