@@ -114,18 +114,17 @@ def _rest(keys: DataFrame, signed: DataFrame, links: DataFrame, threshold: float
     return member.mapInArrow(_block_links(threshold), "a long, b long")
 
 
-def families(docs: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, block: int = BLOCK) -> DataFrame:
-    """(id, representative, dup_kind): documents linked by equal text or by signatures that agree enough.
+def linked(rows: DataFrame, threshold: float = 0.8, block: int = BLOCK) -> tuple[DataFrame, list[str]]:
+    """(id, head, component) of rows (id long, sha, sig binary): head is the smallest id of the same sha, component the
+    smallest one reached over equal shas and signatures that agree enough; and the scratch paths that it reads.
 
     In a band's bucket every member is compared with the smallest id and with one by hash; members that are still in
     different components are then compared with each other, block against block, so no pair of a bucket is lost.
-    Documents of equal text are one member. representative is the smallest id reached.
+    Rows of equal sha are one member; rows without a signature have no other link.
     """
-    ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("sha"), F.col(text_col).alias("text"))
-    heads = rows.groupBy("sha").agg(F.min("id").alias("id"))
-    signed = rows.join(heads, ["sha", "id"]).dropDuplicates(["id"]).select("id", signatures("text").alias("sig")).where("sig IS NOT NULL")
-    signed, _ = materialize(signed, "signatures")
+    heads = rows.groupBy("sha").agg(F.min("id").alias("id"), F.min_by("sig", "id").alias("sig"))
+    heads, heads_path = materialize(heads, "signatures")
+    signed = heads.where("sig IS NOT NULL").select("id", "sig")
     keys = signed.select("id", F.posexplode(band_keys("sig")).alias("band", "key"))
     centre = keys.groupBy("band", "key").agg(F.array(F.min("id"), F.min_by("id", F.xxhash64("id"))).alias("centres"), F.count(F.lit(1)).alias("n")).where("n > 1")
     keys, keys_path = materialize(keys.join(centre, ["band", "key"]).select("id", "band", "key", "centres"), "keys")
@@ -133,8 +132,21 @@ def families(docs: DataFrame, id_col: str, text_col: str, threshold: float = 0.8
     both = pairs.join(signed.withColumnRenamed("sig", "a"), "id").join(signed.select(F.col("id").alias("centre"), F.col("sig").alias("b")), "centre")
     links, links_path = materialize(both.where(agreement("a", "b") >= threshold).select(F.col("centre").alias("a"), F.col("id").alias("b")), "stars")
     parts = components(links.unionByName(_rest(keys, signed, links, threshold, block)))
-    discard(docs.sparkSession, keys_path, links_path)
+    discard(rows.sparkSession, keys_path, links_path)
     out = rows.select("id", "sha").join(heads.select("sha", F.col("id").alias("head")), "sha").join(parts.withColumnRenamed("id", "head"), "head", "left")
-    rep = F.coalesce("component", "head")
-    kind = F.when(F.col("id") == rep, F.lit(None)).when(F.col("id") != F.col("head"), "exact").otherwise("fuzzy")
-    return out.select(F.col("id").alias(id_col), rep.alias("representative"), kind.alias("dup_kind"))
+    return out.select("id", "head", F.coalesce("component", "head").alias("component")), [heads_path]
+
+
+def families(docs: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, block: int = BLOCK) -> DataFrame:
+    """(id, representative, dup_kind): documents linked by equal text or by signatures that agree enough.
+
+    representative is the smallest id reached.
+    """
+    ship(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("sha"), F.col(text_col).alias("text"))
+    heads = rows.groupBy("sha").agg(F.min("id").alias("id"))
+    signed = rows.join(heads, ["sha", "id"]).dropDuplicates(["id"]).select("id", "sha", signatures("text").alias("sig"))
+    parts, _ = linked(signed, threshold, block)
+    out = rows.select("id", "sha").join(heads.select("sha", F.col("id").alias("head")), "sha").join(parts.select("head", "component"), "head")
+    kind = F.when(F.col("id") == F.col("component"), F.lit(None)).when(F.col("id") != F.col("head"), "exact").otherwise("fuzzy")
+    return out.select(F.col("id").alias(id_col), F.col("component").alias("representative"), kind.alias("dup_kind"))
