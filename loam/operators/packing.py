@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loam.functions.types import list_of, struct_of
 from loam.session import ship
 
 
@@ -30,6 +31,48 @@ def segments(chunks: DataFrame, doc: str, index: str, kept: Column, text: str, t
     return out.withColumn("text", F.array_join(F.transform("parts", lambda p: p["t"]), separator)).drop("__island", "parts")
 
 
+def split_points(counts: list[int], room: int, doc_end: bool) -> list[tuple[int, int, int, bool]]:
+    """(first, end, tokens, eos) of pieces of neighbouring chunks that fit in room, with one token between chunks.
+
+    The first chunk of a piece is always taken, however long. Only the last piece of a segment that ends its document
+    carries the end token, for which it must have room.
+    """
+    out, first, tokens = [], 0, 0
+    for i, n in enumerate(counts):
+        end_token = int(doc_end and i == len(counts) - 1)
+        if i > first and tokens + n + 1 + end_token > room:
+            out.append((first, i, tokens, False))
+            first, tokens = i, n
+        else:
+            tokens += n + (i > first)
+    if counts:
+        out.append((first, len(counts), tokens, doc_end))
+    return out
+
+
+_PIECES = list_of(struct_of(first="int", end="int", tokens="long", eos="boolean", cost="long", oversize="boolean"))
+
+
+def split_segments(segments: DataFrame, counts: str, doc_end: Column, seq_len: int = 8192, prefix_tokens: Column | int = 0) -> DataFrame:
+    """One row for each piece of a segment: its columns and piece, first, end (chunks), tokens, eos, cost, oversize.
+
+    counts is the array of the tokens of the segment's chunks. cost is tokens, prefix and end token; a piece of one chunk
+    that is longer than a sequence is oversize. A segment without chunks has no piece.
+    """
+    ship(segments.sparkSession)
+    prefix = F.lit(prefix_tokens) if isinstance(prefix_tokens, int) else prefix_tokens
+
+    @F.pandas_udf(_PIECES)
+    def pieces(all_counts: pd.Series, ends: pd.Series, prefixes: pd.Series) -> pd.Series:
+        def one(c, end, p):
+            made = split_points([int(x) for x in c] if c is not None else [], seq_len - int(p), bool(end))
+            return [{"first": a, "end": b, "tokens": n, "eos": e, "cost": n + int(p) + e, "oversize": n + int(p) + e > seq_len} for a, b, n, e in made]
+
+        return pd.Series([one(*x) for x in zip(all_counts, ends, prefixes, strict=True)])
+
+    return segments.select("*", F.posexplode(pieces(F.col(counts), F.coalesce(doc_end, F.lit(False)), prefix.cast("long"))).alias("piece", "__p")).select("*", "__p.*").drop("__p")
+
+
 def best_fit(sizes: list[int], room: int) -> list[int]:
     """Bin of each size, largest first, into the fullest bin that still holds it (the smaller bin number on ties)."""
     import bisect

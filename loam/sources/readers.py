@@ -5,7 +5,7 @@ from __future__ import annotations
 import ast
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -71,3 +71,37 @@ def format_of(content: Column, path: Column) -> Column:
         .when(F.lower(F.substring(content, 1, 200).cast("string")).rlike("<!doctype html|<html"), "html")
         .otherwise(F.nullif(extension, F.lit("")))
     )
+
+
+def files(spark: SparkSession, path: str, pattern: str = "*", most: int | None = None) -> DataFrame:
+    """(path, size) of the files below a folder, hidden caches aside, in the order of their paths; the first most of them."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path", F.col("length").alias("size"))
+    found = found.where(~F.contains("path", F.lit("/.cache/"))).orderBy("path")
+    return found if most is None else found.limit(most)
+
+
+def capped_sample(rows: DataFrame, n: int, file: Column, key: Column, per_file: int = 250, seed: int = 42) -> DataFrame:
+    """n rows by hash, at most per_file of a file. The cap is taken by a window over each file, which a scan bounds."""
+    h = F.sha2(F.concat_ws(":", F.lit(str(seed)), key.cast("string")), 256)
+    few = rows.withColumn("__h", h).withColumn("__k", F.row_number().over(Window.partitionBy(file).orderBy("__h"))).where(F.col("__k") <= per_file)
+    return few.orderBy("__h").limit(n).drop("__h", "__k")
+
+
+def checkpoint_records(pages: DataFrame, stem: str, page: str, text: str, method: str, metadata: DataFrame) -> DataFrame:
+    """(stem, page's smallest number, pages, needs_ocr, text, matched, metadata's columns) of extraction checkpoints.
+
+    pages has a row for each page. A page that needs recognition is an empty one, so that the others keep their numbers;
+    a file whose pages all do gives an empty text. Files without metadata stay, unmatched.
+    """
+    blank = F.when(F.col(method) == "needs_ocr", "").otherwise(F.coalesce(text, F.lit("")))
+    made = pages.select(stem, F.col(page).alias("__p"), blank.alias("__t"), (F.col(method) == "needs_ocr").alias("__o")).groupBy(stem).agg(
+        F.min("__p").alias(page), F.count(F.lit(1)).alias("pages"), F.count_if("__o").alias("needs_ocr"), F.array_sort(F.collect_list(F.struct("__p", "__t"))).alias("__all")
+    )
+    made = made.withColumn("text", F.array_join(F.transform("__all", lambda x: x["__t"]), "\n")).drop("__all")
+    return made.join(metadata.withColumn("__m", F.lit(True)), stem, "left").withColumn("matched", F.coalesce("__m", F.lit(False))).drop("__m")
+
+
+def write_report_rows(rows: DataFrame, path: str, kind: str) -> None:
+    """Rows of an audit or a sample as CSV with a header, or as JSON lines."""
+    made = rows.write.mode("overwrite")
+    made.option("header", "true").csv(path) if kind == "csv" else made.json(path)
