@@ -2,14 +2,15 @@
 
 Each match of the splitting pattern is merged on its own. The merge keeps a segment tree over the byte
 positions of the match: a leaf holds the rank of the pair that begins at a live token, an inner node the
-smallest rank below it, the leftmost one on ties. A merge takes the root and updates the leaves of the
-merged token, of its dead right neighbour and of its live left neighbour, each in a logarithmic number of
-steps; a match of n bytes takes O(n log n) however it is composed.
+smallest rank of its FAN children, the leftmost one on ties. A merge takes the root and updates the leaves of
+the merged token, of its dead right neighbour and of its live left neighbour, each in a logarithmic number
+of steps; a match of n bytes takes O(n log n) however it is composed.
 
-Texts are cut into units at blanks where a cut provably doesn't change the matches, and the ids of a
-unit are kept in a cache of bounded size, so a frequent word is merged once for each worker.
+Texts are cut into units at blanks and line ends where a cut provably doesn't change the matches, and the ids
+of a unit are kept in a cache of a bounded number of bytes, so a frequent word is merged once for each worker.
 
-Defined results: null counts as empty and has no ids; nothing in a text is a special token.
+Defined results: null counts as empty and has no ids; nothing in a text is a special token; columns of the input
+that bear the name of a result are replaced.
 """
 
 from __future__ import annotations
@@ -30,10 +31,15 @@ from pyspark.sql import functions as F
 from loam.llm.textcodes import small_batches
 from loam.session import ship
 
-#: Units that a worker remembers.
-CACHE = 2_000_000
+#: Bytes of units and ids that a worker remembers, the interpreter's share included; longer units aren't kept.
+CACHE_BYTES, LONGEST_UNIT = 96 << 20, 256
+#: What a unit costs besides its characters and ids: two objects and a place in a dictionary.
+_ENTRY = 220
+#: Children of a node of the segment tree: the smallest of so few is found fastest by looking at all.
+FAN = 32
 _NONE = 1 << 62
 _PLACE = 40
+_POSITION = (1 << _PLACE) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -46,38 +52,35 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one match: merges the pair of lowest rank, the leftmost first, until no pair has a rank."""
     if piece in ranks:
         return [ranks[piece]]
-    n = len(piece)
-    size = 1 << max(n - 2, 0).bit_length()
-    rank_of = ranks.get
-    tree = [_NONE] * (2 * size)
+    n, rank_of = len(piece), ranks.get
+    leaves = []
     for i in range(n - 1):
         rank = rank_of(piece[i : i + 2])
-        if rank is not None:
-            tree[size + i] = rank << _PLACE | i
-    for j in range(size - 1, 0, -1):
-        left, right = tree[2 * j], tree[2 * j + 1]
-        tree[j] = left if left < right else right
-    end, before = list(range(1, n + 1)), list(range(-1, n))
-
-    def put(i: int, value: int) -> None:
-        j = size + i
-        tree[j] = value
-        while j > 1:
-            value = min(tree[j], tree[j ^ 1])
-            j >>= 1
-            if tree[j] == value:
+        leaves.append(_NONE if rank is None else rank << _PLACE | i)
+    top, steps = leaves, []
+    while len(top) > FAN:
+        below, top = top, [min(top[k : k + FAN]) for k in range(0, len(top), FAN)]
+        steps.append((below, top))
+
+    def climb(i: int, value: int) -> None:
+        leaves[i] = value
+        for below, above in steps:
+            i //= FAN
+            value = min(below[i * FAN : i * FAN + FAN])
+            if above[i] == value:
                 return
-            tree[j] = value
+            above[i] = value
 
-    while (best := tree[1]) != _NONE:
-        i = best & ((1 << _PLACE) - 1)
+    put = climb if steps else leaves.__setitem__
+    end, before = list(range(1, n + 1)), list(range(-1, n))
+    while (best := min(top)) != _NONE:
+        i = best & _POSITION
         j = end[i]
         stop = end[i] = end[j]
-        if j < n - 1:
-            put(j, _NONE)
         if stop < n:
             before[stop] = i
             rank = rank_of(piece[i : end[stop]])
+            put(j, _NONE)
             put(i, _NONE if rank is None else rank << _PLACE | i)
         else:
             put(i, _NONE)
@@ -92,19 +95,25 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+#: Before a blank or a line end that a character other than white space follows.
+_CUT = regex.compile(r"(?=[ \n][^\s\x1c-\x1f])")
+
+
 class UnitEncoder(dict):
-    """Encodes texts unit by unit; a dictionary of unit to little-endian ids, of bounded size.
+    """Encodes texts unit by unit; a dictionary of unit to little-endian ids, of a bounded number of bytes.
+
+    A text is cut before every blank or line end that is followed by a character other than white space. Such a cut
+    keeps the matches: a run of white space before a non-blank always leaves its last character to what follows. The
+    key of a unit is the unit, without the blank if it begins with one.
 
-    A unit is what follows a blank up to the next one: "x" stands for " x", and as line ends were given a
-    blank before them, "\\nx" stands for a line end and "x". A cut before a blank or a line end keeps the
-    matches if the next character isn't white space: a run of white space before a non-blank always
-    leaves its last character to what follows. Where that doesn't hold (None), the text is encoded whole.
+    Most texts have single blanks and line ends only; they are split at once. In others a part would begin with
+    white space (None), and the cuts are searched for.
     Units seen lately survive in two generations of half the limit each.
     """
 
-    def __init__(self, plain: Callable[[str], bytes], limit: int = CACHE):
+    def __init__(self, plain: Callable[[str], bytes], limit: int = CACHE_BYTES):
         super().__init__()
-        self.plain, self.half, self.old = plain, limit // 2, {}
+        self.plain, self.half, self.old, self.held = plain, limit // 2, {}, 0
 
     def __missing__(self, unit: str) -> bytes | None:
         ids = self.old.get(unit)
@@ -113,9 +122,13 @@ class UnitEncoder(dict):
             if not body or body[0].isspace():
                 return None
             ids = self.plain(unit if unit[0] == "\n" else " " + unit)
-        if len(self) >= self.half:
-            self.old = dict(self)
+            if len(unit) > LONGEST_UNIT:
+                return ids
+        self.held += _ENTRY + 4 * len(unit) + len(ids)
+        if self.held >= self.half:
+            self.old = self.copy()
             self.clear()
+            self.held = _ENTRY + 4 * len(unit) + len(ids)
         self[unit] = ids
         return ids
 
@@ -128,7 +141,8 @@ class UnitEncoder(dict):
             parts = list(map(self.__getitem__, rest))
             if None not in parts:
                 return self.plain(first) + b"".join(parts)
-        return self.plain(text)
+        first, *rest = _CUT.split(text)
+        return self.plain(first) + b"".join(self[unit[1:] if unit[0] == " " else unit] for unit in rest)
 
 
 def packed(ids: list[int]) -> bytes:
@@ -160,46 +174,50 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _renamed(df: DataFrame) -> tuple[DataFrame, str, list[str]]:
-    """df with its columns named c0, c1, ...; their schema as text; the new names."""
-    names = [f"c{i}" for i in range(len(df.columns))]
-    plain = df.toDF(*names)
-    return plain, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema), names
+def _renamed(df: DataFrame, source: str, results: tuple[str, ...]) -> tuple[DataFrame, str, list[str], list[str]]:
+    """df with its columns, but for those named as results, as c0, c1, ... and the source as t; their schema as the
+    beginning of a text; the new names; the old names."""
+    kept = [c for c in df.columns if c not in results]
+    names = [f"c{i}" for i in range(len(kept))]
+    plain = df.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(kept, names, strict=True)), F.col(f"`{source}`").alias("t"))
+    return plain, "".join(f"{f.name} {f.dataType.simpleString()}, " for f in plain.schema.fields[:-1]), names, kept
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", names: tuple[str, str] = ("ids", "lossless")) -> DataFrame:
-    """docs with an array<int> of ids and whether they decode to the text's bytes."""
+    """docs with an array<int> of ids and whether they decode to the text's bytes.
+
+    Defined results: null and empty texts have no ids and are lossless; columns named as the two results are replaced;
+    an empty table gives an empty one.
+    """
     ship(docs.sparkSession)
-    plain, schema, inner = _renamed(docs)
-    spot = inner[docs.columns.index(text_col)]
+    plain, schema, inner, kept = _renamed(docs, text_col, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for whole in batches:
-            for batch in small_batches(whole, spot):
-                texts = [x or "" for x in batch.column(spot).to_pylist()]
+            for batch in small_batches(whole, "t"):
+                texts = [x or "" for x in batch.column("t").to_pylist()]
                 codes = [own.encode(x) for x in texts]
                 same = [own.decode(c) == x.encode() for c, x in zip(codes, texts, strict=True)]
                 at = np.concatenate([[0], np.cumsum([len(c) // 4 for c in codes])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(codes), "<u4").astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(same, pa.bool_())], names=[*inner, "x", "y"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in inner), ids, pa.array(same, pa.bool_())], names=[*inner, "x", "y"])
 
-    return plain.mapInArrow(run, f"{schema}, x array<int>, y boolean").toDF(*docs.columns, *names)
+    return plain.mapInArrow(run, f"{schema}x array<int>, y boolean").toDF(*kept, *names)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """df with the bytes that its ids stand for; null ids give no bytes."""
+    """df with the bytes that its ids stand for; null ids give no bytes, a column named as the result is replaced."""
     ship(df.sparkSession)
-    plain, schema, inner = _renamed(df)
-    spot = inner[df.columns.index(ids_col)]
+    plain, schema, inner, kept = _renamed(df, ids_col, (out,))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = codec(path, pattern).tokens
         for batch in batches:
-            back = [b"".join(map(tokens.__getitem__, x or ())) for x in batch.column(spot).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(back, pa.binary())], names=[*inner, "x"])
+            back = [b"".join(map(tokens.__getitem__, x or ())) for x in batch.column("t").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in inner), pa.array(back, pa.binary())], names=[*inner, "x"])
 
-    return plain.mapInArrow(run, f"{schema}, x binary").toDF(*df.columns, out)
+    return plain.mapInArrow(run, f"{schema}x binary").toDF(*kept, out)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loam.llm import bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, near_dedup, quality, token_store, toxicity
 from loam.llm.sampling import bucket_of
+from loam.session import scratch_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, score double, key long, body string, c0 int, n_words string, digest string"
 LONG = " ".join(f"word{i % 977}" for i in range(200_000))
@@ -86,19 +87,25 @@ def test_bpe(odd, none):
     assert {r["n_tokens"] for r in got if r["doc_id"] in (3, 4)} == {0}
     coded = bpe.encode(odd, path, pattern)
     assert coded.columns == [*odd.columns, "ids", "lossless"] and coded.where("lossless").count() == 11
+    assert bpe.encode(coded.withColumn("decoded", F.lit(1)), path, pattern).columns == [*odd.columns, "decoded", "ids", "lossless"]
+    assert bpe.decode(coded.withColumn("decoded", F.lit(1)), path, pattern).columns == [*coded.columns, "decoded"]
     back = bpe.decode(coded, path, pattern).where(F.col("decoded").cast("string") != F.coalesce("text", F.lit("")))
     assert back.count() == 0 and bpe.encode(none, path, pattern).count() == 0
 
 
 def test_token_store(odd, none, spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    got = token_store.store_and_read(odd.where("doc_id IS NOT NULL"), path).orderBy("start").collect()
-    assert [r["doc_id"] for r in got] == [1, 2, 2, 3, 4, 5, 6, 7, 8, 9]
+    got = token_store.store_and_read(odd, path).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None, 1, 2, 2, 3, 4, 5, 6, 7, 8, 9]
     assert got[0]["start"] == 0 and all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(got, got[1:], strict=False))
     assert {r["n_tokens"] for r in got if r["doc_id"] in (3, 4)} == {1}
     assert token_store.store_and_read(none, path).count() == 0
-    with pytest.raises(Exception, match="without an id"):
-        token_store.store_and_read(odd, path).count()
+    texts = spark.createDataFrame([("7", "a <|endoftext|> b"), ("x", "no number"), (None, "none"), (None, "none")], "doc_id string, text string")
+    rows = {r["doc_id"]: r["n_tokens"] for r in token_store.store_and_read(texts, path).collect()}
+    assert set(rows) == {None, 7} and rows[7] == 5
+    folder = scratch_path(spark, "ordinary")
+    token_store.write_store(texts, path, folder, ordinary=True)
+    assert {r["n_tokens"] for r in token_store.read_documents(spark, folder).where("doc_id = 7").collect()} == {10}
 
 
 def test_language(odd, none):

@@ -18,7 +18,7 @@ from loam.llm import bpe, license_scan, near_dedup, queries, token_store
 from tests.oracle import assert_same, run_sql
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-TEXTS = st.lists(st.sampled_from([*" \n\tab'sé1!,.日\u3000\x1c\x85xyzABC", "the", " the", "  "]), max_size=40).map("".join)
+TEXTS = st.lists(st.sampled_from([*" \n\tab'sé1!,.日\u3000\x1c\x85xyzABC", "the", " the", "  ", "\n\n", "<|endoftext|>", " \r\n"]), max_size=40).map("".join)
 
 
 @pytest.fixture(scope="module")
@@ -76,7 +76,6 @@ def test_bpe_query(spark, sf, docs, codec):
 def test_units_as_the_library(texts):
     encode, _ = token_store._library(public_tokenizers.path("byte_bpe_50k.json"))
     own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
     counts, ids = encode(pa.array(texts, pa.string()))
     want = [own.encode(t, add_special_tokens=False).ids for t in texts]
     assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
@@ -84,7 +83,6 @@ def test_units_as_the_library(texts):
 
 def test_token_store_query(spark, sf, docs):
     own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
     got, start = {r["doc_id"]: r for r in queries.op7_token_store(spark, sf).collect()}, 0
     for i, d in docs.items():
         ids = np.array([*own.encode(d["text"] or "", add_special_tokens=False).ids, 0], "<u4")
