@@ -157,10 +157,11 @@ def _likely(level: float):
 
 def _filter_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Non-empty chunks of a task's bitmap of hashed ids."""
-    bits = np.zeros(1 << FILTER_BITS, bool)
+    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     for batch in batches:
-        bits[_filter_place(batch.column("id").to_numpy())] = True
-    chunks = np.packbits(bits).reshape(-1, 4096)
+        place = _filter_place(batch.column("id").to_numpy())
+        np.bitwise_or.at(bits, place >> 3, (128 >> (place & 7)).astype(np.uint8))
+    chunks = bits.reshape(-1, 4096)
     some = np.flatnonzero(chunks.any(axis=1))
     if len(some):
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([chunks[i].tobytes() for i in some], pa.binary())], names=["chunk", "bits"])
@@ -285,12 +286,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     component_id is the smallest id reachable over links, its own if there are none; kept is
     id = component_id. Defined results: null, empty and blank texts have no shingles and no link. Rows
     that repeat an id are one document if their texts agree; differing texts under one id share its
-    component. Rows without an id have the component null and are kept. An empty table gives an empty one.
+    component. Rows without an id, or with one that is no integer, have the id and the component null and are kept.
+    An empty table gives an empty one.
     """
     spark = docs.sparkSession
     ship(spark)
     conf, level = Settings(k, percent), percent / 100
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.expr(f"try_cast(`{id_col}` as bigint)").alias("id"), F.col(text_col).alias("text"))
     marks, marks_path = materialize(rows.mapInArrow(_sketch_batches(k, conf.registers), "id long, n long, digest binary, sketch binary"), "marks")
 
     # Classes of equal shingle sets; the smallest id stands for the class.
@@ -305,17 +307,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     sketches = classes.select("id", "n", "sketch")
     scratch = [members_path]
 
-    def sets_of(ends: DataFrame) -> DataFrame:
-        # Where an id is repeated with other texts, all of them are compared.
-        return rows.where("id is not null").mapInArrow(_set_batches(k, _filter(ends)), "id long, shingles binary")
-
     def confirm(pairs: DataFrame) -> DataFrame:
         """(centre, id, met, link, delta) of (centre, id, large, met) pairs, from their full sets."""
         pairs, path = materialize(pairs, "likely")
-        sets = sets_of(pairs.select(F.col("centre").alias("id")).union(pairs.select("id")))
+        wanted = _filter(pairs.select(F.col("centre").alias("id")).union(pairs.select("id")))
+        # Where an id is repeated with other texts, all of them are compared.
+        sets = rows.where("id is not null").mapInArrow(_set_batches(k, wanted), "id long, shingles binary")
         one = lambda x, y: sets.select(F.col("id").alias(x), F.col("shingles").alias(y))
         sure = pairs.join(one("id", "set_b"), "id").join(one("centre", "set_a"), "centre")
         sure, sure_path = materialize(sure.mapInArrow(_confirmed(percent), "centre long, id long, met long, link boolean, delta binary"), "confirmed")
+        wanted.destroy()
         scratch.extend([path, sure_path])
         return sure
 
@@ -385,6 +386,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
 
 def keep_one_of_each_group(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the documents that near_duplicates() doesn't keep; all columns stay."""
+    """docs without the documents that near_duplicates() doesn't keep; all columns stay.
+
+    Defined results: rows whose text has no word, and rows without an integer id, are kept; rows that repeat an id are
+    kept or dropped together; an empty table gives an empty one.
+    """
     gone = near_duplicates(docs, k, percent, id_col, text_col).where("not kept").select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    return docs.join(gone, F.expr(f"try_cast(`{id_col}` as bigint)") == F.col("__gone"), "left_anti")
