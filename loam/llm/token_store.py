@@ -5,8 +5,8 @@ holds whole documents in order; its ids are dealt to interleaved lanes, each a r
 32-bit words share one stream. Every few thousand steps a checkpoint stores the lanes' states and the place
 in the stream, so that decoding can start there; a CRC over the block tells damage. Blocks are independent.
 
-Block (little-endian): magic, ids, lanes, steps between checkpoints, checkpoints, words, documents; then
-document ids (int64), document lengths (uint32), a states row of uint64 for each checkpoint, places (uint32),
+Block (little-endian): magic, ids, lanes, steps between checkpoints, checkpoints, words, documents, how many of the
+first documents have no id; then document ids (int64, 0 where there is none), document lengths (uint32), a states row of uint64 for each checkpoint, places (uint32),
 words (uint32), CRC-32 of all before (uint32). A store is a folder with the table (symbol, count, frequency)
 and the blocks in the order of part and seq, one row for each block, written by Spark's own file writer so that
 it works in any store that Spark can reach.
@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 from loam.llm.bpe import packed
 from loam.llm.textcodes import small_batches
 from loam.llm.unit_table import UnitTable
-from loam.session import materialize, scratch_path, ship
+from loam.session import discard, materialize, scratch_path, ship
 
 BITS, LANES, BLOCK_IDS, CHECKPOINT_STEPS = 20, 2048, 1 << 19, 128
 END_ID = 0
-_HEAD = struct.Struct("<4sIIIIII")
-_MAGIC = b"LRB1"
+_HEAD = struct.Struct("<4sIIIIIII")
+_MAGIC = b"LRB2"
 _LOW = np.uint64(1 << 31)
 
 
@@ -70,8 +70,8 @@ class Table:
         return np.repeat(np.arange(len(self.freq), dtype=np.uint32), self.freq.astype(np.int64))
 
 
-def encode_block(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray, table: Table, lanes: int = LANES, every: int = CHECKPOINT_STEPS) -> bytes:
-    """One block from the ids of whole documents."""
+def encode_block(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray, table: Table, lanes: int = LANES, every: int = CHECKPOINT_STEPS, nameless: int = 0) -> bytes:
+    """One block from the ids of whole documents, of which the first nameless ones have no document id."""
     n = len(ids)
     lanes = max(1, min(lanes, n // 64))
     steps = -(-n // lanes)
@@ -96,7 +96,7 @@ def encode_block(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray, tabl
     places = np.array([written - w for _, w in marks], "<u4")
     body = b"".join(
         [
-            _HEAD.pack(_MAGIC, n, lanes, every, len(marks), written, len(doc_ids)),
+            _HEAD.pack(_MAGIC, n, lanes, every, len(marks), written, len(doc_ids), nameless),
             doc_ids.astype("<i8").tobytes(),
             lengths.astype("<u4").tobytes(),
             *(state.astype("<u8").tobytes() for state, _ in marks),
@@ -111,7 +111,7 @@ class Block:
     """A block's parts; decode() gives its ids, or those from one checkpoint on."""
 
     def __init__(self, data: bytes):
-        magic, self.n, self.lanes, self.every, marks, words, docs = _HEAD.unpack_from(data)
+        magic, self.n, self.lanes, self.every, marks, words, docs, self.nameless = _HEAD.unpack_from(data)
         if magic != _MAGIC or zlib.crc32(data[:-4]) != struct.unpack("<I", data[-4:])[0]:
             raise ValueError("damaged block")
         at = _HEAD.size
@@ -146,13 +146,16 @@ class Block:
 
 
 @lru_cache(maxsize=1)
-def _library(path: str):
-    """A function from a column of texts to (counts, ids) with the tokenizers library, and the bytes of an id."""
+def _library(path: str, ordinary: bool = False):
+    """A function from a column of texts to (counts, ids) with the tokenizers library, and the bytes of an id.
+
+    The string of a special token in a text is that token, as is the library's way, unless ordinary is set.
+    """
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
+    own.encode_special_tokens = ordinary
     with open(path, encoding="utf-8") as source:
         made = json.load(source)
     split = made.get("pre_tokenizer") or {}
@@ -189,7 +192,8 @@ def _library(path: str):
 
     width = 2 if own.get_vocab_size() <= 1 << 16 else 4
     if apart and len(line_end) == 1:
-        return UnitTable(plain, together, width).encode, width
+        special = () if ordinary else tuple(x["content"] for x in made.get("added_tokens", ()))
+        return UnitTable(plain, together, width, special).encode, width
 
     def whole(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         codes = [plain(x) if x else b"" for x in column.to_pylist()]
@@ -198,15 +202,19 @@ def _library(path: str):
     return whole, width
 
 
-def _tokenized(path: str):
+def _tokenized(path: str, ordinary: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, width = _library(path)
+        encode, width = _library(path, ordinary)
         for whole in batches:
             for batch in small_batches(whole, "text"):
                 counts, ids = encode(batch.column("text"))
                 ends = np.concatenate([[0], np.cumsum(counts * width)]).astype(np.int32)
                 column = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(ids.tobytes())])
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.full(len(counts), width, np.int32)), column], names=["id", "width", "ids"])
+                raw = memoryview(ids.tobytes())
+                sums = [zlib.crc32(raw[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), pa.array(np.full(len(counts), width, np.int32)), pa.array(sums, pa.int64()), column], names=["id", "width", "sum", "ids"]
+                )
 
     return run
 
@@ -233,7 +241,8 @@ def _blocks(frequencies, block_ids: int):
 
         def done() -> pa.RecordBatch:
             lengths = np.array([len(x) for x in held])
-            data = encode_block(np.concatenate(held), np.array(docs, np.int64), lengths, table)
+            named = np.array([x or 0 for x in docs], np.int64)
+            data = encode_block(np.concatenate(held), named, lengths, table, nameless=docs.count(None))
             return pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "first_doc": [docs[0]], "n_ids": [size], "block": [data]}, schema=_BLOCK_SCHEMA)
 
         for batch in batches:
@@ -255,25 +264,29 @@ _BLOCK_DDL = "part int, seq int, first_doc long, n_ids long, block binary"
 _TABLE_DDL = "symbol long, count long"
 
 
-def write_store(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS) -> None:
+def write_store(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS, ordinary: bool = False) -> None:
     """Tokenises all texts and writes them below folder (table/ and blocks/) in ascending order of the id.
 
     Documents are tokenised once, into a scratch table of ids; the frequencies are counted over all of it
-    (each task sends one row for each symbol it has), then the ids are dealt by ranges of the document id.
-    Defined results: null and empty texts have only the end id; rows that repeat an id are kept, in the
-    order of their texts' hashes; rows without an id can't be placed and raise an error.
+    (each task sends one row for each symbol it has), then the ids are dealt by ranges of the document id and, where
+    many rows have the same one, of a checksum of their ids. The string of a special token in a text is that token,
+    as is the library's way; with ordinary it is text like any other.
+    Defined results: null and empty texts have only the end id; rows that repeat an id are kept, in the order of the
+    checksums of their ids; rows without an id, or with one that is no integer, come first, in the same order, and
+    have a null id when they are read; an empty table gives a store without blocks.
     """
     spark = docs.sparkSession
     ship(spark)
-    doc = F.col(id_col).cast("long")
-    rows = docs.select(F.when(doc.isNotNull(), doc).otherwise(F.raise_error(F.lit("a document without an id")).cast("long")).alias("id"), F.col(text_col).alias("text"))
-    ids, _ = materialize(rows.mapInArrow(_tokenized(tokenizer_path), "id long, width int, ids binary"), "token-ids")
-    counts = ids.mapInArrow(_counted, _TABLE_DDL).groupBy("symbol").agg(F.sum("count").alias("count"))
+    rows = docs.select(F.expr(f"try_cast(`{id_col}` as bigint)").alias("id"), F.col(text_col).alias("text"))
+    ids, ids_path = materialize(rows.mapInArrow(_tokenized(tokenizer_path, ordinary), "id long, width int, sum long, ids binary"), "token-ids")
+    counts = ids.select("width", "ids").mapInArrow(_counted, _TABLE_DDL).groupBy("symbol").agg(F.sum("count").alias("count"))
     counts.coalesce(1).write.parquet(f"{folder}/table")
     frequencies = spark.sparkContext.broadcast(read_table(spark, folder))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = ids.repartitionByRange(parts, "id").sortWithinPartitions("id", F.xxhash64("ids"))
+    dealt = ids.repartitionByRange(parts, "id", "sum").sortWithinPartitions("id", "sum", "ids").select("id", "width", "ids")
     dealt.mapInArrow(_blocks(frequencies, block_ids), _BLOCK_DDL).write.option("compression", "none").parquet(f"{folder}/blocks")
+    frequencies.destroy()
+    discard(spark, ids_path)
 
 
 def read_table(spark: SparkSession, folder: str) -> Table:
@@ -295,7 +308,7 @@ def _documents(frequencies):
                 raw = memoryview(ids.tobytes())
                 sums = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), block.lengths.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(block.doc_ids), pa.array(begin + ends - block.lengths), pa.array(block.lengths.astype(np.int64)), pa.array(sums, pa.int64())],
+                    [pa.array(block.doc_ids, mask=np.arange(len(block.doc_ids)) < block.nameless), pa.array(begin + ends - block.lengths), pa.array(block.lengths.astype(np.int64)), pa.array(sums, pa.int64())],
                     names=["id", "start", "n_tokens", "ids_crc32"],
                 )
 
@@ -305,7 +318,7 @@ def _documents(frequencies):
 def read_documents(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of all documents of a store, decoded from its files.
 
-    Only one number for each written part (file) goes to the driver: how many ids stand before it.
+    Documents that were written without an id have a null one; a store without blocks gives no rows. Only one number for each written part (file) goes to the driver: how many ids stand before it.
     """
     ship(spark)
     blocks = spark.read.schema(_BLOCK_DDL).parquet(f"{folder}/blocks")

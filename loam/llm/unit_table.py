@@ -1,22 +1,28 @@
 """A bounded table of encoded units, looked up for a whole column of texts at once with numpy.
 
-A text is cut before every blank and line end. Where the next character isn't white space, such a cut keeps the
-matches of a byte-level splitting pattern: a run of white space before a non-blank always leaves its last
-character to what follows. Texts in which that doesn't hold are encoded whole.
+A text is cut before every blank and line end that is followed by a character other than white space. Such a cut keeps
+the matches of a byte-level splitting pattern: a run of white space before a non-blank always leaves its last
+character to what follows. Texts that hold one of the given special strings are encoded whole.
 
 A unit of up to 24 bytes is its own key (three words of eight bytes and the length), so equality is exact; the hash
-only finds the slot. Longer units are kept in a dictionary. When the table is full it starts anew.
+only finds the slot. Longer units, up to LONGEST bytes, are kept in a dictionary. When the table holds too many units,
+ids or bytes, it starts anew before the next column, so between columns it never holds more than the limits and what
+one column adds.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from loam.llm.textcodes import mix, raw_text
 
+#: Limits of the table: ids in the pool, bytes of long units, bytes of a unit that is remembered at all.
+POOL_IDS, LONG_BYTES, LONGEST = 4 << 20, 8 << 20, 1024
 _MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _A, _B, _C = (mix(np.arange(1, 4, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)).tolist()
 
@@ -24,8 +30,9 @@ _A, _B, _C = (mix(np.arange(1, 4, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C1
 class UnitTable:
     """encode() gives the ids of all texts of a column; plain encodes one text, together many simple units."""
 
-    def __init__(self, plain: Callable[[str], bytes], together: Callable[[list[str]], list[bytes]], width: int, bits: int = 22):
+    def __init__(self, plain: Callable[[str], bytes], together: Callable[[list[str]], list[bytes]], width: int, special: tuple[str, ...] = (), bits: int = 21):
         self.plain, self.together, self.kind, self.bits = plain, together, np.dtype(f"<u{width}"), bits
+        self.special = "|".join(map(re.escape, special))
         self.limit = (1 << bits) // 2
         self.reset()
 
@@ -36,6 +43,7 @@ class UnitTable:
         self.begin, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.pool, self.used, self.entries = np.zeros(1 << 18, self.kind), 0, 0
         self.long: dict[bytes, int] = {}
+        self.long_bytes = 0
 
     def add(self, codes: list[bytes]) -> np.ndarray:
         """Numbers of new entries with these ids (little-endian, 32 bits)."""
@@ -84,7 +92,7 @@ class UnitTable:
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each text, and all ids in order."""
-        if self.entries > self.limit:
+        if self.entries > self.limit or self.used > POOL_IDS or self.long_bytes > LONG_BYTES:
             self.reset()
         data, offsets = raw_text(column)
         n = len(offsets) - 1
@@ -92,16 +100,18 @@ class UnitTable:
             return np.zeros(n, np.int64), np.zeros(0, self.kind)
         padded = np.concatenate([data, np.zeros(24, np.uint8)])
         gap = (data == 32) | (data == 10)
-        mark = gap.copy()
-        mark[offsets[:-1][np.diff(offsets) > 0]] = True
+        one, two = padded[1 : len(data) + 1], padded[2 : len(data) + 2]
+        blank = (one <= 32) | (one == 0xC2) & ((two == 0x85) | (two == 0xA0)) | (one == 0xE1) & (two == 0x9A) | (one == 0xE2) & ((two == 0x80) | (two == 0x81)) | (one == 0xE3) & (two == 0x80)
+        mark = gap & ~blank
+        full = np.diff(offsets) > 0
+        mark[offsets[1:][full] - 1] = False
+        mark[offsets[:-1][full]] = True
         start = np.flatnonzero(mark)
         size = np.diff(np.append(start, len(data)))
         owner = np.searchsorted(offsets, start, side="right") - 1
-        lead = gap[start]
-        one, two = padded[start + 1], padded[start + 2]
-        blank = (one <= 32) | (one == 0xC2) & ((two == 0x85) | (two == 0xA0)) | (one == 0xE1) & (two == 0x9A) | (one == 0xE2) & ((two == 0x80) | (two == 0x81)) | (one == 0xE3) & (two == 0x80)
         odd = np.zeros(n, bool)
-        odd[owner[lead & (blank | (size == 1))]] = True
+        if self.special:
+            odd |= pc.fill_null(pc.match_substring_regex(column, self.special), False).to_numpy(zero_copy_only=False)
 
         view = np.ndarray((len(padded) - 7,), np.uint64, padded.tobytes(), 0, (1,))
         keys = [view[np.minimum(start + 8 * k, len(view) - 1)] & _MASKS[np.clip(size - 8 * k, 0, 8)] for k in range(3)]
@@ -127,7 +137,10 @@ class UnitTable:
             unit = data[start[i] : start[i] + size[i]].tobytes()
             found = self.long.get(unit)
             if found is None:
-                found = self.long[unit] = int(self.add([self.plain(unit.decode())])[0])
+                found = int(self.add([self.plain(unit.decode())])[0])
+                if len(unit) <= LONGEST:
+                    self.long[unit] = found
+                    self.long_bytes += len(unit) + 150
             number[i] = found
         if odd.any():
             keep = ~odd[owner]
