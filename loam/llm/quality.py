@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,13 +30,45 @@ LABELLED_ROWS, POOL_ROWS, ROUNDS, PER_ROUND = 3000, 6000, 5, 300
 _TABLE = shapes()
 
 
-def text_view(texts: list[str]) -> np.ndarray:
-    """Rows of square roots of gram shares, each of length about 1; empty texts give zeros."""
-    out = np.zeros((len(texts), 1 << TEXT_BITS), np.float32)
+@dataclass
+class Rows:
+    """Sparse rows, one after the other: buckets and their values."""
+
+    bucket: np.ndarray
+    value: np.ndarray
+    offset: np.ndarray
+    size: int
+
+    def __len__(self) -> int:
+        return len(self.offset) - 1
+
+    @property
+    def owner(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self)), np.diff(self.offset))
+
+    def take(self, rows: np.ndarray) -> Rows:
+        count = np.diff(self.offset)[rows]
+        at = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
+        place = np.repeat(self.offset[:-1][rows] - at[:-1], count) + np.arange(at[-1])
+        return Rows(self.bucket[place], self.value[place], at, self.size)
+
+    def dot(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.owner, self.value * weights[self.bucket], minlength=len(self))
+
+    def gradient(self, slope: np.ndarray) -> np.ndarray:
+        return np.bincount(self.bucket, self.value * np.repeat(slope, np.diff(self.offset)), minlength=self.size)
+
+
+def text_view(texts: list[str]) -> Rows:
+    """Rows of square roots of gram shares, each of length about 1; empty texts give empty rows."""
+    parts, sizes = [(np.zeros(0, np.int64), np.zeros(0))], np.zeros(len(texts), np.int64)
     for first, row, bucket, count in gram_counts(texts, TEXT_BITS, ORDERS, _TABLE, lower=False):
         total = np.bincount(row, count) if len(row) else np.zeros(0)
-        out[first + row, bucket] = np.sqrt(count / total[row])
-    return out
+        parts.append((bucket, np.sqrt(count / total[row])))
+        own = np.bincount(row)
+        sizes[first : first + len(own)] = own
+    bucket, value = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return Rows(bucket.astype(np.int16), value.astype(np.float32), np.concatenate([[0], np.cumsum(sizes)]), 1 << TEXT_BITS)
 
 
 def meta_columns(lang: Column, source: Column, n_chars: Column) -> Column:
@@ -46,28 +79,30 @@ def meta_columns(lang: Column, source: Column, n_chars: Column) -> Column:
     return F.array(*[F.pmod(F.xxhash64(p), F.lit(1 << META_BITS)).cast("int") for p in parts])
 
 
-def meta_view(buckets: list[list[int]]) -> np.ndarray:
-    out = np.zeros((len(buckets), 1 << META_BITS), np.float32)
-    for i, row in enumerate(buckets):
-        out[i, row] = 0.45
-    return out
+def meta_view(buckets: list[list[int]]) -> Rows:
+    """Rows of equal values; a bucket that a row has twice counts once."""
+    rows = [sorted(set(x)) for x in buckets]
+    at = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int64)
+    bucket = np.fromiter((b for x in rows for b in x), np.int16, int(at[-1]))
+    return Rows(bucket, np.full(len(bucket), 0.45, np.float32), at, 1 << META_BITS)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, start: np.ndarray | None = None, l2: float = 1e-3, steps: int = 120, rate: float = 0.2) -> np.ndarray:
-    """Weights (the last is the bias) of a logistic regression, by Adam on the whole set; in float32 throughout."""
-    x, y = x.astype(np.float32, copy=False), y.astype(np.float32)
-    w = np.zeros(x.shape[1] + 1, np.float32) if start is None else start.copy()
-    m, v = np.zeros_like(w), np.zeros_like(w)
+def fit_logistic(x: Rows, y: np.ndarray, start: np.ndarray | None = None, l2: float = 1e-3, steps: int = 120, rate: float = 0.2, batch: int = 1024, seed: int = 5) -> np.ndarray:
+    """Weights (the last is the bias) of a logistic regression, by Adam on mini-batches."""
+    w = np.zeros(x.size + 1) if start is None else start.copy()
+    m, v, draw = np.zeros_like(w), np.zeros_like(w), np.random.default_rng(seed)
     for t in range(1, steps + 1):
-        error = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -40, 40))) - y
-        g = np.append(error @ x / len(y) + np.float32(l2) * w[:-1], error.mean()).astype(np.float32)
-        m, v = np.float32(0.9) * m + np.float32(0.1) * g, np.float32(0.999) * v + np.float32(0.001) * g * g
-        w -= np.float32(rate / (1 - 0.9**t)) * m / (np.sqrt(v / np.float32(1 - 0.999**t)) + np.float32(1e-8))
+        rows = np.sort(draw.choice(len(y), batch, replace=False)) if len(y) > batch else np.arange(len(y))
+        part = x.take(rows) if len(rows) < len(y) else x
+        error = _chance(part.dot(w) + w[-1]) - y[rows]
+        g = np.append(part.gradient(error) / len(rows) + l2 * w[:-1], error.mean())
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w -= rate * min(1.0, 3 * (1 - (t - 1) / steps)) / (1 - 0.9**t) * m / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return w
 
 
-def _margin(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return x @ w[:-1] + w[-1]
+def _margin(x: Rows, w: np.ndarray) -> np.ndarray:
+    return x.dot(w) + w[-1]
 
 
 def _chance(z: np.ndarray) -> np.ndarray:
@@ -104,16 +139,20 @@ class Model:
         return _chance(a), _chance(b), _chance(a * self.joint[0] + b * self.joint[1] + self.joint[2])
 
 
-def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS, per_round: int = PER_ROUND) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of the two views after rounds of exchanging confident pseudo-labels."""
+def co_train(views: tuple[Rows, Rows], y: np.ndarray, n: int, rounds: int = ROUNDS, per_round: int = PER_ROUND) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the two views after rounds of exchanging confident pseudo-labels.
+
+    The first n rows of the views are labelled with y; the rest are the pool.
+    """
     given: list[dict[int, float]] = [{}, {}]
     share = float(y.mean())
+    pool = [x.take(np.arange(n, len(x))) for x in views]
 
     def fitted(start: list[np.ndarray | None], steps: int) -> list[np.ndarray]:
         out = []
-        for view, more, extra, w in zip(views, pool, given, start, strict=True):
-            rows = np.fromiter(extra, int, len(extra))
-            out.append(fit_logistic(np.concatenate([view, more[rows]]), np.concatenate([y, np.fromiter(extra.values(), float, len(extra))]), w, steps=steps))
+        for view, extra, w in zip(views, given, start, strict=True):
+            rows = np.concatenate([np.arange(n), n + np.fromiter(extra, np.int64, len(extra))])
+            out.append(fit_logistic(view.take(rows), np.concatenate([y, np.fromiter(extra.values(), float, len(extra))]), w, steps=steps))
         return out
 
     weights = fitted([None, None], 120)
@@ -123,7 +162,7 @@ def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np
             free = np.array([r for r in range(len(pool[0])) if r not in other], int)
             if not len(free):
                 continue
-            order = free[np.argsort(_margin(pool[i][free], weights[i]), kind="stable")]
+            order = free[np.argsort(_margin(pool[i], weights[i])[free], kind="stable")]
             low = max(1, round(per_round * (1 - share)))
             for r in order[:low].tolist():
                 other[r] = 0.0
@@ -133,6 +172,11 @@ def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np
     return weights[0], weights[1]
 
 
+def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The values of a binary column, one after the other, as numbers."""
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in column if len(x.as_buffer()))])
+
+
 def train(
     docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
     labelled_rows: int = LABELLED_ROWS, pool_rows: int = POOL_ROWS,
@@ -150,7 +194,7 @@ def train(
     total = sum(sizes.values())
     share = (sizes.get(1, 0) + 0.5) / (total + 1)
     n_docs = docs.where(usable).select(F.count(F.lit(1))).first()[0]
-    zero = lambda bits: np.zeros((1 << bits) + 1, np.float32)
+    zero = lambda bits: np.zeros((1 << bits) + 1)
     plain = Model(zero(TEXT_BITS), zero(META_BITS), *[np.array([0.0, np.log(share / (1 - share))])] * 2, np.array([1.0, 0.0, 0.0]))
     if len(sizes) < 2 or not n_docs:
         return plain
@@ -169,25 +213,28 @@ def train(
         for whole in batches:
             for batch in small_batches(whole, "text"):
                 x = text_view([t or "" for t in batch.column("text").to_pylist()])
+                grams = [(x.bucket[a:b].tobytes(), x.value[a:b].astype(np.float16).tobytes()) for a, b in zip(x.offset[:-1].tolist(), x.offset[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("label"), batch.column("h"), batch.column("meta"), pa.array([r.astype(np.float16).tobytes() for r in x], pa.binary())], names=["label", "h", "meta", "grams"]
+                    [batch.column("label"), batch.column("h"), batch.column("meta"), *(pa.array(v, pa.binary()) for v in zip(*grams, strict=True))], names=["label", "h", "meta", "buckets", "shares"]
                 )
 
-    # At most labelled_rows + pool_rows ids are broadcast, and so many rows of 2^TEXT_BITS halves come back.
-    got = rows.join(F.broadcast(picked), "id").select("label", "h", "text", "meta").mapInArrow(views, "label int, h long, meta array<int>, grams binary")
-    got = got.orderBy("label", "h", "grams").limit(2 * (labelled_rows + pool_rows)).toArrow()
-    label = np.array(got["label"].to_pylist())
-    text = np.array([np.frombuffer(g.as_buffer(), np.float16) for g in got["grams"]]).astype(np.float32)
+    # At most labelled_rows + pool_rows ids are broadcast, and so many rows of at most 2^TEXT_BITS entries come back.
+    got = rows.join(F.broadcast(picked), "id").select("label", "h", "text", "meta").mapInArrow(views, "label int, h long, meta array<int>, buckets binary, shares binary")
+    got = got.orderBy("label", "h", "buckets", "shares").limit(2 * (labelled_rows + pool_rows)).toArrow()
+    label, h = got["label"].to_numpy(), got["h"].to_numpy()
     meta = meta_view(got["meta"].to_pylist())
-    order = np.argsort(np.array(got["h"].to_pylist()), kind="stable")
+    sizes = [pc.binary_length(got["buckets"]).to_numpy() // 2]
+    text = Rows(_joined(got["buckets"], np.int16), _joined(got["shares"], np.float16).astype(np.float32), np.concatenate([[0], np.cumsum(*sizes)]).astype(np.int64), 1 << TEXT_BITS)
+    del got
+    order = np.argsort(h, kind="stable")
     own = order[label[order] >= 0]
     teach, kept = own[np.arange(len(own)) % 3 != 0], own[np.arange(len(own)) % 3 == 0]
     if len(set(label[teach])) < 2 or len(set(label[kept])) < 2:
         return plain
-    free = label < 0
-    w_text, w_meta = co_train((text[teach], meta[teach]), label[teach].astype(float), (text[free], meta[free]))
+    used = np.concatenate([teach, np.flatnonzero(label < 0)])
+    w_text, w_meta = co_train((text.take(used), meta.take(used)), label[teach].astype(float), len(teach))
     y = label[kept].astype(float)
-    z = [_margin(text[kept], w_text), _margin(meta[kept], w_meta)]
+    z = [_margin(text.take(kept), w_text), _margin(meta.take(kept), w_meta)]
     scale = [newton(v[:, None], y) for v in z]
     # A view that gets its sign turned by the calibration rows tells nothing.
     scale = [s if s[0] > 0 else np.array([0.0, np.log(share / (1 - share))]) for s in scale]
