@@ -4,7 +4,8 @@ Every participant of a conversation (a distinct speaker other than the system) i
 turns of that speaker become assistant turns and carry the training mask, all others become named user turns, the
 system's turns stay. A conversation of any length is rendered in pieces of PIECE turn numbers each, so no task
 gathers an unbounded conversation; the pieces of a perspective, in order, are the dialogue. Markers that a text
-contains are escaped reversibly: "<|" becomes "<\\|", and "<\\|" becomes "<\\\\|".
+contains are escaped reversibly: "<|" becomes "<\\|", and "<\\|" becomes "<\\\\|". In a speaker's name a backslash is
+doubled before that, and a line end becomes a backslash and "n", so that no name can forge a header.
 """
 
 from __future__ import annotations
@@ -21,6 +22,10 @@ def escaped(text: Column) -> Column:
     return F.regexp_replace(text, r"<(\\*)\|", r"<\\$1|")
 
 
+def escaped_name(name: Column) -> Column:
+    return escaped(F.replace(F.replace(name, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
+
+
 def unescaped(text: Column) -> Column:
     return F.regexp_replace(text, r"<\\(\\*)\|", r"<$1|")
 
@@ -44,7 +49,7 @@ def rotate(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", speaker:
     both = pieces.join(people, F.col("conv").eqNullSafe(F.col("owner")))
 
     def head(t: Column) -> Column:
-        named = F.concat(F.lit("user name="), escaped(t["who"]))
+        named = F.concat(F.lit("user name="), escaped_name(t["who"]))
         return F.concat(F.lit("<|start|>"), F.when(t["who"] == SYSTEM, SYSTEM).when(t["who"] == F.col("speaker"), "assistant").otherwise(named), F.lit("\n"))
 
     parts = F.transform("turns", lambda t: F.struct((t["who"] == F.col("speaker")).alias("own"), head(t).alias("head"), F.concat(escaped(t["said"]), F.lit("<|end|>")).alias("body")))
@@ -82,7 +87,7 @@ SQL = rf"""
     t AS (
         SELECT r.conv_id, p.speaker, r.piece, r.turn, r.who, r.said, r.who = p.speaker AS own,
                '<|start|>' || CASE WHEN r.who = '{SYSTEM}' THEN r.who WHEN r.who = p.speaker THEN 'assistant'
-                   ELSE 'user name=' || regexp_replace(r.who, '<(\\*)\|', '<\\\1|', 'g') END || chr(10) AS head,
+                   ELSE 'user name=' || regexp_replace(replace(replace(r.who, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\\\1|', 'g') END || chr(10) AS head,
                regexp_replace(r.said, '<(\\*)\|', '<\\\1|', 'g') || '<|end|>' AS body
         FROM r JOIN p ON r.conv_id IS NOT DISTINCT FROM p.conv_id),
     o AS (

@@ -36,7 +36,7 @@ def shapes() -> np.ndarray:
 def gram_counts(texts: list[str], bits: int, orders: tuple[int, ...], table: np.ndarray, lower: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first document, row, bucket, count) of the non-zero buckets of consecutive documents.
 
-    Every character counts; a document longer than CHARS is added up from pieces.
+    Every character counts; a document longer than CHARS is added up from pieces, whose grams reach over the cuts.
     """
     size, i = 1 << bits, 0
     while i < len(texts):
@@ -45,34 +45,38 @@ def gram_counts(texts: list[str], bits: int, orders: tuple[int, ...], table: np.
             chars += len(texts[j])
             j += 1
         total = np.zeros((j - i) * size, np.int64)
-        for codes, owner in _codes(texts[i:j], table, lower):
+        for codes, owner, before in _codes(texts[i:j], table, lower, max(orders) - 1):
             for n in orders:
-                if len(codes) < n:
+                low = max(0, before - n + 1)
+                m = len(codes) - low - n + 1
+                if m < 1:
                     continue
-                m = len(codes) - n + 1
                 code = np.full(m, np.uint32(n * 0x51ED27), np.uint32)
-                for k in range(n):
+                for k in range(low, low + n):
                     code = code * np.uint32(0x01000193) + codes[k : k + m]
-                keep = owner[:m] == owner[n - 1 :]
-                total += np.bincount((owner[:m] * size + _spread(code, bits))[keep], minlength=len(total))
+                keep = owner[low : low + m] == owner[low + n - 1 :]
+                total += np.bincount((owner[low : low + m] * size + _spread(code, bits))[keep], minlength=len(total))
         found = np.flatnonzero(total)
         yield i, found // size, found % size, total[found]
         i = j
 
 
-def _codes(texts: list[str], table: np.ndarray, lower: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Code points and the document of each; a blank stands before and after a document.
+def _codes(texts: list[str], table: np.ndarray, lower: bool, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Code points, the document of each, and how many of the first ones were in the piece before.
 
-    A text longer than CHARS comes in pieces, as if a blank stood at each cut.
+    A blank stands before and after a document, and runs of blanks are one. A text longer than CHARS comes in pieces;
+    each begins with the last reach code points of the one before.
     """
-    if len(texts) == 1 and len(texts[0]) > CHARS:
-        for at in range(0, len(texts[0]), CHARS):
-            yield from _codes([texts[0][at : at + CHARS]], table, lower)
-        return
     joined = [f" {x.lower() if lower else x} " for x in texts]
-    codes = np.frombuffer("".join(joined).encode("utf-32-le", "surrogatepass"), "<u4")
-    codes = table[np.minimum(codes, np.uint32(0xFFFF))]
-    owner = np.repeat(np.arange(len(texts)), [len(x) for x in joined])
-    blank = codes == 32  # runs of blanks count as one
-    keep = ~(blank & np.concatenate([[False], blank[:-1]]) & (owner == np.concatenate([[-1], owner[:-1]])))
-    yield codes[keep], owner[keep]
+    whole = "".join(joined)
+    owners = np.repeat(np.arange(len(texts)), [len(x) for x in joined]) if len(texts) > 1 else None
+    carry = np.zeros(0, np.uint32)
+    step = len(whole) if len(texts) > 1 else CHARS
+    for at in range(0, len(whole), step):
+        codes = np.frombuffer(whole[at : at + step].encode("utf-32-le", "surrogatepass"), "<u4")
+        codes = np.concatenate([carry, table[np.minimum(codes, np.uint32(0xFFFF))]])
+        owner = np.zeros(len(codes), np.int64) if owners is None else owners
+        blank = codes == 32
+        keep = ~(blank & np.concatenate([[False], blank[:-1]]) & (owner == np.concatenate([[-1], owner[:-1]])))
+        yield codes[keep], owner[keep], len(carry)
+        carry = codes[keep][-reach:] if reach else carry

@@ -23,8 +23,8 @@ from loam.llm.textcodes import small_batches
 from loam.session import ship
 
 BITS, ORDERS = 14, (1, 2, 3)
-#: Bound on the labelled rows that the weights are fitted on, and on the number of languages.
-TRAIN_ROWS, MAX_LANGUAGES = 4000, 1000
+#: Bounds of the fit: the labelled rows that the weights are fitted on, and the languages (the most frequent ones).
+TRAIN_ROWS, MAX_LANGUAGES = 4000, 300
 _LETTER = regex.compile(r"\p{L}")
 _TABLE = letters_only()
 
@@ -135,18 +135,17 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = TRAIN_ROWS) -> Model:
+def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = TRAIN_ROWS, max_languages: int = MAX_LANGUAGES) -> Model:
     """A model of the rows where usable holds and the language and the text aren't null.
 
-    Without such rows the model knows no language and predicts und.
+    It learns the max_languages most frequent languages, the first by name on ties; a text in any other gets the
+    likeliest of them. Without usable rows the model knows no language and predicts und.
     """
     spark = docs.sparkSession
     ship(spark)
     data = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     data = data.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    sizes = {r["lang"]: r["n"] for r in data.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = {r["lang"]: r["n"] for r in data.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
     counted = dict(data.select("text").mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas().itertuples(index=False, name=None))
     total = counted.pop(-1, 0)
     df = np.zeros(1 << BITS)
@@ -191,7 +190,11 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", names: tuple
 
 
 def identified(docs: DataFrame, usable: Column, min_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs with an identified language (not und, score of min_score at least), columns as they were."""
+    """The rows of docs with an identified language (not und, score of min_score at least), columns as they were.
+
+    Defined results: rows whose text is null or has no letter go; if nothing can be learnt from, all rows go, as no
+    language is known; an empty table gives an empty one.
+    """
     model = train(docs, usable, id_col, text_col)
     names = ("__lang_pred", "__lang_score")
     found = identify(docs, model, text_col, names)
