@@ -3,8 +3,8 @@
 A linear model over hashed words is trained, with numpy, from confirmed toxic documents (P) and unlabelled ones
 (U) with the risk  prior * R_P(+) + max(0, R_U(-) - prior * R_P(-)):  where the second part turns negative, the
 step goes the other way. The class prior is the share of toxic rows among all usable labels. The margin is then
-turned into a probability by Platt scaling on a bounded sample of labelled rows of both kinds, weighted to the class
-prior; its toxic rows, a fifth of all by a hash of the id, take no part in the training.
+turned into a probability by Platt scaling on bounded samples of labelled rows of both kinds, weighted to the class
+prior. The toxic rows' margins are out of fold: each comes from a model that was trained without the fold it is in.
 
 A document is a set of words (A-Z lower-cased, runs of letters and digits) and of the beginnings of words, hashed
 to 2^BITS buckets. Only those that are clearly more frequent in P than in U (telling_words) get a
@@ -31,8 +31,8 @@ BITS, MIN_DOCS, LEVEL = 20, 4, 4.5
 STEMS = (4, 5, 6)
 #: Bounds on the documents that the model is fitted on: confirmed toxic, unlabelled, and of each kind for the scaling.
 POSITIVE_ROWS, UNLABELLED_ROWS, SCALE_ROWS = 2000, 6000, 2000
-#: One in so many toxic rows is kept for the scaling.
-KEPT_BACK = 5
+#: Parts of the toxic rows; each is scored, for the scaling, by a model of the others.
+FOLDS = 3
 
 
 def document_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -203,32 +203,50 @@ def train(
         return df.select("id", F.lit(kind).alias("kind"), hash_order(F.col("id"), seed).alias("h")).orderBy("h", "id").limit(rows)
 
     toxic, clean = known.where("label = 1"), known.where("label = 0")
-    back = F.pmod(hash_order(F.col("id"), 9), F.lit(KEPT_BACK)) == 0
     pool = docs.where(usable).select(F.col(id_col).alias("id")).where("id is not null")
     # The pool is thinned a little wider than needed, as labelled documents leave it again.
     unlabelled = thinned(pool, F.col("id"), 3 * unlabelled_rows, {None: n_docs}, seed=3).join(labels.select(F.col(id_col).alias("id")).distinct(), "id", "left_anti")
-    picked = bounded(thinned(toxic.where(~back), F.col("id"), 2 * positive_rows, {None: sizes[1]}, seed=2), "p", positive_rows, 2)
+    picked = bounded(thinned(toxic, F.col("id"), positive_rows, {None: sizes[1]}, seed=2), "p", positive_rows, 2)
     picked = picked.unionByName(bounded(unlabelled, "u", unlabelled_rows, 3))
-    picked = picked.unionByName(bounded(thinned(toxic.where(back), F.col("id"), 2 * KEPT_BACK * scale_rows, {None: sizes[1]}, seed=4), "1", scale_rows, 4))
     if sizes.get(0):
         picked = picked.unionByName(bounded(thinned(clean, F.col("id"), scale_rows, {None: sizes[0]}, seed=5), "0", scale_rows, 5))
     texts = docs.where(usable).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # At most positive_rows + unlabelled_rows + 2 * scale_rows ids are broadcast.
+    # At most positive_rows + unlabelled_rows + scale_rows ids are broadcast.
     rows = texts.join(F.broadcast(picked), "id").select("kind", "h", "text").mapInArrow(_sets, "kind string, h long, words binary")
-    got = rows.orderBy("kind", "h", "words").limit(2 * (positive_rows + unlabelled_rows + 2 * scale_rows)).toArrow()
+    got = rows.orderBy("kind", "h", "words").limit(2 * (positive_rows + unlabelled_rows + scale_rows)).toArrow()
     kinds = np.array(got["kind"].to_pylist())
     sets = [np.frombuffer(x.as_buffer(), "<u4").astype(np.int32) for x in got["words"]]
     del got
-    part = {k: Rows.of([sets[i] for i in np.flatnonzero(kinds == k)]) for k in ("p", "u", "1", "0")}
+    part = {k: Rows.of([sets[i] for i in np.flatnonzero(kinds == k)]) for k in ("p", "u", "0")}
+    del sets
     if not len(part["p"]):
         return empty
     if not len(part["u"]):  # every document is labelled: the labelled ones stand for the unlabelled
-        part["u"] = Rows.of([sets[i] for i in np.flatnonzero((kinds == "1") | (kinds == "0"))])
-    weights, bias, live = fit_nnpu(part["p"].without_copies(), part["u"].without_copies(), prior)
-    margin = np.concatenate([part[k].only(live).dot(weights) + bias for k in ("1", "0")])
-    label = np.repeat([1.0, 0.0], [len(part["1"]), len(part["0"])])
-    weight = np.where(label == 1, prior / max(1, len(part["1"])), (1 - prior) / max(1, len(part["0"]))) * len(label)
-    return Model(weights, bias, fit_scale(margin, label, weight), live)
+        part["u"] = Rows.of([*(part[k].bucket[a:b] for k in ("p", "0") for a, b in zip(part[k].offset[:-1], part[k].offset[1:], strict=True))])
+    unlabelled_sets = part["u"].without_copies()
+    weights, bias, live = fit_nnpu(part["p"].without_copies(), unlabelled_sets, prior)
+    clean_margin = part["0"].only(live).dot(weights) + bias
+    return Model(weights, bias, out_of_fold_scale(part["p"], unlabelled_sets, clean_margin, prior), live)
+
+
+def out_of_fold_scale(positive: Rows, unlabelled: Rows, clean_margin: np.ndarray, prior: float, folds: int = FOLDS) -> tuple[float, float]:
+    """Platt's a, b from the margins of clean rows and the out-of-fold margins of toxic ones.
+
+    Copies of a row are in its fold: the folds are made of the rows left by without_copies(). With fewer rows than folds
+    the margin itself is the log-odds.
+    """
+    positive = positive.without_copies()
+    if len(positive) < folds or not len(clean_margin):
+        return 1.0, 0.0
+    number, margins = np.arange(len(positive)) % folds, []
+    for fold in range(folds):
+        weights, bias, live = fit_nnpu(positive.take(np.flatnonzero(number != fold)), unlabelled, prior)
+        margins.append(positive.take(np.flatnonzero(number == fold)).only(live).dot(weights) + bias)
+    toxic_margin = np.concatenate(margins)
+    margin = np.concatenate([toxic_margin, clean_margin])
+    label = np.repeat([1.0, 0.0], [len(toxic_margin), len(clean_margin)])
+    weight = np.where(label == 1, prior / len(toxic_margin), (1 - prior) / len(clean_margin)) * len(label)
+    return fit_scale(margin, label, weight)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:

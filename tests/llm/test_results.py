@@ -182,12 +182,12 @@ def test_languages_held_out(spark, docs, sf):
 
 
 def test_toxic_held_out(spark):
-    """At sf0.1: nothing clean is flagged more than once in fifty, most toxic documents with telling words are found."""
+    """At sf0.1: nothing clean is flagged more than once in a hundred, most toxic documents with telling words are found."""
     folder = "/root/testdata/sf0.1"
     got = {r["doc_id"]: r for r in queries.op6_toxicity(spark, folder).collect() if r["held_out"]}
     labels = {r["doc_id"]: r["toxic"] for r in run_sql("SELECT doc_id, toxic FROM labels", folder).to_pylist() if r["doc_id"] in got}
     flagged = lambda kind: [got[i]["predicted"] for i, t in labels.items() if t == kind]
-    assert np.mean(flagged(0)) <= 0.02 and np.mean(flagged(1)) >= 0.6
+    assert np.mean(flagged(0)) <= 0.01 and np.mean(flagged(1)) >= 0.82
     assert all(r["predicted"] == int(r["score"] >= 0.5) for r in got.values())
 
 
