@@ -83,8 +83,8 @@ ENGINES_SQL = r"""
     en(engine, tier) AS (VALUES ('alpha', 0), ('beta', 1), ('gamma', 2)),
     ot AS (SELECT doc_id AS page_id, coalesce(text, '') AS text FROM documents),
     ou AS (SELECT page_id, engine, tier, CASE WHEN engine = 'alpha' THEN text
-                WHEN engine = 'beta' THEN left(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), length(text) * CASE WHEN page_id % 5 = 0 THEN 15 ELSE 28 END // 30)
-                WHEN page_id % 13 = 0 THEN repeat(left(text, 60) || ' ', 8) ELSE left(text, length(text) * 29 // 30) || ' end' END AS raw
+                WHEN engine = 'beta' THEN left(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), length(text) * 28 // 30)
+                WHEN page_id % 13 = 0 THEN repeat(left(text, 60) || ' ', 8) ELSE left(text, length(text) * CASE WHEN page_id % 5 = 0 THEN 15 ELSE 29 END // 30) || ' end' END AS raw
            FROM ot, en WHERE NOT (engine = 'beta' AND page_id % 7 = 0)),
     oj AS (SELECT ot.page_id, en.engine, en.tier, ot.text AS ref, ou.raw FROM ot CROSS JOIN en LEFT JOIN ou ON ou.page_id = ot.page_id AND ou.engine = en.engine),
     og AS (SELECT *, regexp_extract_all(coalesce(raw, ''), '[^ \t\n\r]+') AS rw, regexp_extract_all(ref, '[^ \t\n\r]+') AS fw FROM oj),
@@ -109,9 +109,9 @@ def _engines(spark: SparkSession, d: str, reasons: bool = True) -> DataFrame:
     raw = (
         F.when((engine == "beta") & (F.pmod(page, F.lit(7)) == 0), F.lit(None).cast("string"))
         .when(engine == "alpha", text)
-        .when(engine == "beta", part(capitals, F.when(F.pmod(page, F.lit(5)) == 0, 15).otherwise(28)))
+        .when(engine == "beta", part(capitals, F.lit(28)))
         .when(F.pmod(page, F.lit(13)) == 0, F.repeat(F.concat(F.left(text, F.lit(60)), F.lit(" ")), F.lit(8)))
-        .otherwise(F.concat(part(text, F.lit(29)), F.lit(" end")))
+        .otherwise(F.concat(part(text, F.when(F.pmod(page, F.lit(5)) == 0, 15).otherwise(29)), F.lit(" end")))
     )
     rows = rows.select("page_id", "engine", "tier", "ref", raw.alias("raw"))
     if not reasons:

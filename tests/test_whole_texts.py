@@ -39,7 +39,7 @@ def test_bootstrap_sees_whole_texts(spark, tmp_path):
 
 def test_case_distance_sees_whole_texts(spark, tmp_path):
     texts = {1: "A1 " * 80 + "then lower case", 2: "lower first " * 20 + "THEN CAPITALS " * 9, 3: None, 4: "", 5: "đường " * 50}
-    got = {r["doc_id"]: r["case_distance"] for r in QUERIES["whole_case_distances"](spark, _folder(spark, tmp_path, texts)).collect()}
+    got = {r["doc_id"]: r["case_distance"] for r in QUERIES["latex_and_case"](spark, _folder(spark, tmp_path, texts)).collect()}
     plain = {i: None if t is None else "".join(c for c in t if " " <= c <= "~") for i, t in texts.items()}
     assert got == {i: None if t is None else _brute_force(t, t.upper()) for i, t in plain.items()}
 
@@ -48,3 +48,28 @@ def test_inventory_keeps_contents_of_many_copies(spark, tmp_path):
     texts = {i: "hot" for i in range(60)} | {i: "pair" for i in range(60, 62)} | {62: "single", 63: None}
     got = {r["doc_id"]: r["n"] for r in QUERIES["content_copies"](spark, _folder(spark, tmp_path, texts)).collect()}
     assert got == {i: 60 if i < 60 else 2 if i < 62 else 1 for i in texts}
+
+
+def test_funnel_counts_repeated_and_missing_ids(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    long = " ".join(f"word{i} of some prose" for i in range(40)) + "."
+    rows = [(i, f"{long} {i}", "en", "s", 1) for i in (1, 1, 2, 2, 3, 3, 4, 4, 5, 5)] + [(None, f"{long} none {i}", "en", "s", 1) for i in range(5)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["doc_funnel"](spark, str(tmp_path)).first()
+    assert (got["n_in"], got["kept"], got["rejected_duplicate"]) == (15, 15, 0)
+
+
+def test_inventory_numbers_all_copies(spark, tmp_path):
+    texts = {i: "hot" for i in range(250)} | {i: "pair" for i in range(250, 252)} | {252: "single", 253: None}
+    got = QUERIES["content_inventory"](spark, _folder(spark, tmp_path, texts)).collect()
+    ids = {n: sorted(int(x) for r in got if r["n"] == n for x in r["ids"].split(",")) for n in (2, 250)}
+    assert ids == {2: [250, 251], 250: list(range(250))} and all(len(r["ids"].split(",")) <= 100 for r in got)
+
+
+def test_word_distance():
+    from loam.functions.edit import word_codes
+
+    rng = random.Random(4)
+    for _ in range(100):
+        a, b = ([rng.choice("one two three four five".split()) for _ in range(rng.randint(0, 20))] for _ in range(2))
+        assert distance(*word_codes(" ".join(a), " ".join(b))) == _brute_force(a, b)
