@@ -2,8 +2,9 @@
 
 Every participant of a conversation (a distinct speaker other than the system) is taken as the assistant once: the
 turns of that speaker become assistant turns and carry the training mask, all others become named user turns, the
-system's turns stay. A conversation of any length is rendered in pieces of PIECE turn numbers each, so no task
-gathers an unbounded conversation; the pieces of a perspective, in order, are the dialogue. Markers that a text
+system's turns stay. A conversation of any length is rendered in pieces of PIECE turns each, so no task gathers an
+unbounded conversation, whatever its turns' numbers; the pieces of a perspective, in order, are the dialogue. The
+place of a turn is counted over ranges of (conversation, turn), several of which a long conversation fills. Markers that a text
 contains are escaped reversibly: "<|" becomes "<\\|", and "<\\|" becomes "<\\\\|". In a speaker's name a backslash is
 doubled before that, and a line end becomes a backslash and "n", so that no name can forge a header.
 """
@@ -13,7 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Turn numbers in one piece.
+from loam.operators.order import numbered
+
+#: Turns in one piece.
 PIECE = 64
 SYSTEM = "system"
 
@@ -36,14 +39,15 @@ def rotate(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", speaker:
     text is the rendered piece; mask_starts and mask_ends are the half-open character ranges, within it, of what the
     assistant says, its end marker included. Turns are ordered by turn number, then speaker, then text.
 
-    Defined results: a null turn number sorts first, in piece 0; a null speaker is the participant "unknown"; a
-    null text is empty; a negative turn number lies in a negative piece; repeated rows are repeated turns; a
+    Defined results: a null turn number sorts first, then negative ones; a null speaker is the participant "unknown"; a
+    null text is empty; repeated rows are repeated turns; a
     conversation of system turns only, and an empty table, give no rows. Turns without a conversation are those of
     the conversation null.
     """
     who = F.coalesce(F.col(speaker), F.lit("unknown"))
-    piece = F.coalesce(F.floor(F.col(turn) / PIECE), F.lit(0)).cast("long")
-    rows = turns.select(F.col(conv).alias("conv"), piece.alias("piece"), F.col(turn).cast("long").alias("turn"), who.alias("who"), F.coalesce(F.col(text), F.lit("")).alias("said"))
+    rows = turns.select(F.col(conv).alias("conv"), F.col(turn).cast("long").alias("turn"), who.alias("who"), F.coalesce(F.col(text), F.lit("")).alias("said"))
+    rows, _ = numbered(rows, ["conv"], ["turn", "who", "said"], "place")
+    rows = rows.withColumn("piece", F.floor(F.col("place") / PIECE).cast("long"))
     people = rows.where(F.col("who") != SYSTEM).select(F.col("conv").alias("owner"), F.col("who").alias("speaker")).distinct()
     pieces = rows.groupBy("conv", "piece").agg(F.array_sort(F.collect_list(F.struct("turn", "who", "said"))).alias("turns"))
     both = pieces.join(people, F.col("conv").eqNullSafe(F.col("owner")))
@@ -82,7 +86,8 @@ def report(turns: DataFrame) -> DataFrame:
 
 SQL = rf"""
     WITH r AS (
-        SELECT conv_id, coalesce(floor(turn / {PIECE}), 0)::BIGINT AS piece, turn, coalesce(role, 'unknown') AS who, coalesce(text, '') AS said FROM conversations),
+        SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, who, said) - 1) // {PIECE} AS piece FROM
+            (SELECT conv_id, turn, coalesce(role, 'unknown') AS who, coalesce(text, '') AS said FROM conversations)),
     p AS (SELECT DISTINCT conv_id, who AS speaker FROM r WHERE who <> '{SYSTEM}'),
     t AS (
         SELECT r.conv_id, p.speaker, r.piece, r.turn, r.who, r.said, r.who = p.speaker AS own,
