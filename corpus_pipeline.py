@@ -19,27 +19,35 @@ MIN_LANGUAGE_SCORE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without an identified language."""
+    """Drops documents without an identified language: a null text, or one without a letter, goes.
+
+    With two learnt languages or more the score of the best is at least one over their number, so with up to three of
+    them MIN_LANGUAGE_SCORE drops nothing more. Without a usable row to learn from all documents go.
+    """
     return language_id.identified(docs, bucket_of(F.col("doc_id"), 4) != 2, MIN_LANGUAGE_SCORE)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each text."""
+    """Keeps one document of each text, that of the largest id; null counts as empty, rows that repeat the id of the one
+    that stays, with its text, are one document."""
     return exact_dedup.keep_one_of_each(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate group: five-word shingles, a similarity of 0.8."""
+    """Keeps one document of each near-duplicate group, that of the smallest id: five-word shingles, a similarity of 0.8.
+
+    Documents without words or without an integer id stay.
+    """
     return near_dedup.keep_one_of_each_group(docs, k=5, percent=80)
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a window of the benchmark."""
+    """Drops documents that hold a window of the benchmark; those without words stay, an empty benchmark drops none."""
     return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document, and whether they decode to its text."""
+    """Ids of every document, and whether they decode to its text; an empty text has no ids and is lossless."""
     coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "lossless")
 
@@ -57,7 +65,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder."""
+    """All stages over the documents of a folder; an empty table gives an empty result, columns of other names are kept up to
+    the last stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs, _ = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
