@@ -49,10 +49,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch_base(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; where it is unset (tests), a folder of this process."""
+    """The shared folder of spark.checkpoint.dir. Where it is unset, a folder of this process in local mode (tests); on a
+    cluster that is an error, as other machines don't see the driver's folders."""
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         folder = tempfile.mkdtemp(prefix="loam-scratch-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir("file://" + folder)
