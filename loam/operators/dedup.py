@@ -5,10 +5,11 @@ All groups are keyed by digests of the text; rows of one document are aggregated
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loam.functions import text as T
+from loam.operators.order import numbered
 
 
 def with_families(docs: DataFrame, id_col: str, digest_col: str, order: list) -> DataFrame:
@@ -48,13 +49,13 @@ def contained(docs: DataFrame, id_col: str, text_col: str, separator: str = "\n"
     return pair.groupBy("id", "n").agg(best).select(F.col("id").alias(id_col), F.col("b.other").alias("container"), F.col("b.shared").alias("shared"), F.col("n").alias("n_paras"))
 
 
-def first_chunks(chunks: DataFrame, text: str, order: list) -> DataFrame:
+def first_chunks(chunks: DataFrame, text: str, order: list[str]) -> DataFrame:
     """chunks with n_before: how many equal chunks come earlier in order (0 for the one that stays).
 
-    A window over the digest; a chunk that repeats in a very large number of documents is sorted by one task, in
-    streaming fashion, as the reference order is a total one.
+    Chunks are numbered by ranges of (digest, order), so one that repeats in very many documents is dealt to many tasks.
     """
-    return chunks.withColumn("n_before", F.row_number().over(Window.partitionBy(F.sha2(text, 256)).orderBy(*order)) - 1)
+    made, _ = numbered(chunks.withColumn("__sha", F.sha2(text, 256)), ["__sha"], order, "n_before")
+    return made.drop("__sha")
 
 
 def latest(rows: DataFrame, keys: list[str], order: list) -> DataFrame:

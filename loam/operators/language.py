@@ -24,7 +24,7 @@ class Lexicon:
 
 
 def heuristic(text: Column, lexicon: Lexicon = Lexicon()) -> Column:
-    """target, other, "other" or und, from whole texts."""
+    """target (by its letters or by its words), other, "other" or und, from whole texts."""
     tokens = F.regexp_extract_all(F.lower(T.body(text)), F.lit(r"([\p{L}]+)"), F.lit(1))
     return T.let(tokens, lambda x: _judged(text, x, lexicon))
 
@@ -33,14 +33,15 @@ def _judged(text: Column, tokens: Column, lexicon: Lexicon) -> Column:
     share = lambda words: T.ratio(F.size(F.filter(tokens, lambda w: w.isin(*words))), F.size(tokens))
     return (
         F.when(F.size(tokens) == 0, "und")
-        .when((T.diacritic_share(text, lexicon.letters) >= lexicon.min_letters) & (share(lexicon.target_words) >= lexicon.min_share), lexicon.target)
+        .when((T.diacritic_share(text, lexicon.letters) >= lexicon.min_letters) | (share(lexicon.target_words) >= lexicon.min_share), lexicon.target)
         .when(share(lexicon.other_words) >= lexicon.min_share, lexicon.other)
         .otherwise("other")
     )
 
 
 def segments(text: Column, most: int = 50) -> Column:
-    """Lines with ten letters at least (all worded lines if none has), evenly picked if more than most."""
+    """Paragraphs, or lines where there is one paragraph at most, with ten letters at least (all worded ones if none has),
+    evenly picked if more than most."""
     def chosen(worded: Column) -> Column:
         long = F.filter(worded, lambda x: T.letters(x) >= 10)
         return T.let(F.when(F.size(long) > 0, long).otherwise(worded), picked)
@@ -50,7 +51,9 @@ def segments(text: Column, most: int = 50) -> Column:
         even = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: F.element_at(x, F.floor(i * step).cast("int") + 1))
         return F.when(F.size(x) > most, even).otherwise(x)
 
-    return T.let(F.filter(T.lines(text), lambda x: T.letters(x) > 0), chosen)
+    paragraphs = F.filter(F.split(T.body(text), r"\n\n+"), lambda x: F.trim(x) != "")
+    parts = T.let(paragraphs, lambda p: F.when(F.size(p) > 1, p).otherwise(F.split(T.body(text), "\n")))
+    return T.let(F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: T.letters(x) > 0), chosen)
 
 
 def mixes(docs: DataFrame, id_col: str, text_col: str, lexicon: Lexicon = Lexicon()) -> DataFrame:

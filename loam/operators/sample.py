@@ -47,4 +47,5 @@ def stratified(rows: DataFrame, total: int, pass_share: float = 0.7, seed: int =
     limits = spark.createDataFrame(quota, "stratum string, rule_pass boolean, quota int")
     key = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string")), 256)
     ranked = rows.withColumn("k", F.row_number().over(Window.partitionBy("stratum", "rule_pass").orderBy(key)))
-    return ranked.join(F.broadcast(limits), ["stratum", "rule_pass"]).where(F.col("k") <= F.col("quota")).drop("k", "quota")
+    # No quota is above the total: each task keeps that many rows of a stratum before anything is shuffled.
+    return ranked.where(F.col("k") <= total).join(F.broadcast(limits), ["stratum", "rule_pass"]).where(F.col("k") <= F.col("quota")).drop("k", "quota")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loam.functions import text as T
+from loam.operators.order import order_statistics
 from loam.plans.documents import _PHONE, FUNNEL_SQL, LINES_SQL, SCORED_SQL, _lines, scored_documents, with_status
 from loam.plans.evaluation import ENGINES_SQL, _engines
 from loam.plans.registry import query, table
@@ -468,11 +469,8 @@ def log_rates(spark, d):
     """Quantiles of the rates that the lines of a log report, for each device; counts of distinct values only."""
     line = F.concat(F.lit("gpu"), F.pmod("user_id", F.lit(4)).cast("string"), F.lit(": "), F.round("value", 2).cast("string"), F.lit(" pages/s"))
     part = lambda i: F.regexp_extract("line", r"(gpu[0-9]+): ([0-9.]+) pages/s", i)
-    k = table(spark, d, "events").select(line.alias("line")).groupBy(part(1).alias("gpu"), part(2).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("k"))
-    w = Window.partitionBy("gpu")
-    k = k.withColumn("last", F.sum("k").over(w.orderBy("v"))).withColumn("n", F.sum("k").over(w))
-    at = lambda q: F.min(F.when(F.col("last") > F.floor(F.col("n") * q), F.col("v")))
-    return k.groupBy("gpu").agg(F.max("n").alias("n"), at(0.1).alias("p10"), at(0.5).alias("p50"), at(0.9).alias("p90"))
+    rates = table(spark, d, "events").select(line.alias("line")).select(part(1).alias("gpu"), part(2).cast("double").alias("v"))
+    return order_statistics(rates, "gpu", "v", {"p10": 0.1, "p50": 0.5, "p90": 0.9})
 
 
 @query(

@@ -114,7 +114,7 @@ def packed_sequences(spark, d):
 @query(f"WITH {LINE_CHUNKS} SELECT doc_id, idx, row_number() OVER (PARTITION BY sha256(t) ORDER BY doc_id, idx) - 1 AS n_before FROM ks WHERE n >= 5")
 def first_chunks(spark, d):
     rows = _line_chunks(spark, d).where("n >= 5")
-    return dedup.first_chunks(rows, "t", [F.col("doc_id"), F.col("idx")]).select("doc_id", "idx", F.col("n_before").cast("long").alias("n_before"))
+    return dedup.first_chunks(rows, "t", ["doc_id", "idx"]).select("doc_id", "idx", F.col("n_before").cast("long").alias("n_before"))
 
 
 class _Text(HTMLParser):

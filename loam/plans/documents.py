@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loam.functions import text as T
 from loam.functions.edit import edit_distance
 from loam.operators import dedup, language, quality
-from loam.operators.order import numbered
+from loam.operators.order import numbered, order_statistics
 from loam.plans.registry import query, table
 from loam.session import materialize, ship
 
@@ -181,7 +181,7 @@ def _lid_sql(x: str) -> str:
     tokens = rf"regexp_extract_all(lower({x}), '[\p{{L}}]+')"
     share = lambda ws: f"len(list_filter({tokens}, lambda w: w IN ({quoted(ws)}))) / greatest(len({tokens}), 1)"
     dia = rf"len(regexp_extract_all(lower({x}), '[{_LEX.letters}]')) / greatest(len(regexp_extract_all(lower({x}), '\p{{L}}')), 1)"
-    return f"""CASE WHEN len({tokens}) = 0 THEN 'und' WHEN {dia} >= {_LEX.min_letters} AND {share(_LEX.target_words)} >= {_LEX.min_share} THEN '{_LEX.target}'
+    return f"""CASE WHEN len({tokens}) = 0 THEN 'und' WHEN {dia} >= {_LEX.min_letters} OR {share(_LEX.target_words)} >= {_LEX.min_share} THEN '{_LEX.target}'
         WHEN {share(_LEX.other_words)} >= {_LEX.min_share} THEN '{_LEX.other}' ELSE 'other' END"""
 
 
@@ -196,7 +196,8 @@ def vi_diacritic_ratio(spark, d):
 
 
 MIX_SQL = rf"""
-    g AS (SELECT doc_id, list_filter(list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x)), lambda x: x <> ''), lambda x: len(regexp_extract_all(x, '\p{{L}}')) > 0) AS wl FROM documents),
+    g AS (SELECT doc_id, list_filter(list_transform(CASE WHEN len(pa) > 1 THEN pa ELSE string_split(body, chr(10)) END, lambda x: trim(x)), lambda x: len(regexp_extract_all(x, '\p{{L}}')) > 0) AS wl
+          FROM (SELECT doc_id, body, list_filter(regexp_split_to_array(body, '\n\n+'), lambda x: trim(x) <> '') AS pa FROM (SELECT doc_id, coalesce(text, '') AS body FROM documents))),
     h AS (SELECT doc_id, CASE WHEN len(list_filter(wl, lambda x: len(regexp_extract_all(x, '\p{{L}}')) >= 10)) > 0
             THEN list_filter(wl, lambda x: len(regexp_extract_all(x, '\p{{L}}')) >= 10) ELSE wl END AS c FROM g),
     i AS (SELECT doc_id, CASE WHEN len(c) > 50 THEN [c[floor(j * (len(c) / 50))::INTEGER + 1] FOR j IN range(0, 50)] ELSE c END AS segs FROM h),
@@ -317,9 +318,16 @@ def contained_docs(spark, d):
         SELECT source, count(*) AS n_docs, array_to_string(list_sort(list(doc_id))[1:20], ',') AS first_ids FROM h GROUP BY source"""
 )
 def contaminated_docs(spark, d):
-    grams = lambda df, *keep: df.select(*keep, F.explode(T.ngrams(F.regexp_extract_all(F.lower(T.body(F.col("text"))), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1)), 13)).alias("g"))
-    known = grams(table(spark, d, "benchmark")).select(F.md5("g").alias("h")).distinct()
-    hits = grams(table(spark, d, "documents"), "doc_id", "source").select("doc_id", "source", F.md5("g").alias("h")).join(known, "h", "left_semi").select("doc_id", "source").distinct()
+    words = lambda df: df.withColumn("w", F.regexp_extract_all(F.lower(T.body(F.col("text"))), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1)))
+    docs = words(table(spark, d, "documents").select("doc_id", "source", "text")).withColumn("sha", F.sha2(T.body(F.col("text")), 256)).drop("text")
+    known = words(table(spark, d, "benchmark").select("text"))
+    # Codes of the grams find the few texts worth a look; their grams are compared as such. The codes of the benchmark are
+    # broadcast by the planner if their size allows it.
+    codes = lambda df, *keep: df.select(*keep, F.explode(F.array_distinct(T.gram_codes(F.col("w"), 13))).alias("c"))
+    likely = codes(docs, "sha").join(codes(known).distinct(), "c", "left_semi").select("sha").distinct()
+    grams = lambda df, *keep: df.select(*keep, F.explode(T.ngrams(F.col("w"), 13)).alias("g"))
+    some = docs.join(likely, "sha", "left_semi")
+    hits = grams(some, "doc_id", "source").join(grams(known).distinct(), "g", "left_semi").select("doc_id", "source").distinct()
     return _first_ids(hits, 20)
 
 
@@ -432,17 +440,9 @@ def text_counts(spark, d):
         SELECT source, v[least(len(v), floor(len(v) * 0.1)::INTEGER + 1)] AS p10, v[least(len(v), floor(len(v) * 0.5)::INTEGER + 1)] AS p50, v[least(len(v), floor(len(v) * 0.9)::INTEGER + 1)] AS p90 FROM s"""
 )
 def length_percentiles(spark, d):
-    """Order statistics without interpolation: the element at floor(n * q) of the sorted values.
-
-    Values are counted first, and the cumulative counts are taken over distinct values only, so a source of any size
-    is never gathered.
-    """
-    counts = table(spark, d, "documents").groupBy("source", F.length(T.body(F.col("text"))).alias("n")).agg(F.count(F.lit(1)).alias("k"))
-    total = counts.groupBy("source").agg(F.sum("k").alias("total"))
-    up_to = F.sum("k").over(Window.partitionBy("source").orderBy("n"))
-    run = counts.withColumn("last", up_to).join(total, "source")
-    at = lambda q: F.min(F.when(F.col("last") > F.least(F.floor(F.col("total") * q), F.col("total") - 1), F.col("n")))
-    return run.groupBy("source").agg(at(0.1).alias("p10"), at(0.5).alias("p50"), at(0.9).alias("p90"))
+    """Order statistics without interpolation: the element at floor(n * q) of the sorted values."""
+    sizes = table(spark, d, "documents").select("source", F.length(T.body(F.col("text"))).alias("size"))
+    return order_statistics(sizes, "source", "size", {"p10": 0.1, "p50": 0.5, "p90": 0.9}).drop("n")
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loam.functions import text as T
+from loam.operators.order import order_statistics
 from loam.plans.documents import FUNNEL_SQL, LINES_SQL, SCORED_SQL, _lines, scored_documents, with_status
 from loam.plans.registry import query, table
 
@@ -30,11 +31,7 @@ def year_checks(spark, d):
 )
 def latency_percentiles(spark, d):
     """Order statistics of each kind, from counts of distinct values."""
-    k = table(spark, d, "events").groupBy("event_type", "value").agg(F.count(F.lit(1)).alias("k"))
-    w = Window.partitionBy("event_type")
-    k = k.withColumn("last", F.sum("k").over(w.orderBy("value"))).withColumn("n", F.sum("k").over(w))
-    at = lambda q: F.min(F.when(F.col("last") > F.least(F.floor(F.col("n") * q), F.col("n") - 1), F.col("value")))
-    return k.groupBy("event_type").agg(F.max("n").alias("n"), at(0.5).alias("p50"), at(0.95).alias("p95"))
+    return order_statistics(table(spark, d, "events").select("event_type", "value"), "event_type", "value", {"p50": 0.5, "p95": 0.95})
 
 
 @query("SELECT event_type, CASE WHEN value < 1 THEN '<1' WHEN value < 5 THEN '1-5' WHEN value < 20 THEN '5-20' WHEN value < 100 THEN '20-100' ELSE '>=100' END AS bin, count(*) AS n FROM events GROUP BY ALL")
