@@ -12,7 +12,7 @@ from loam.functions.edit import edit_distance, word_distance
 from loam.operators import dedup, quality, vectors
 from loam.plans.documents import FUNNEL_SQL, METRICS_SQL, with_status
 from loam.plans.registry import query, table
-from loam.session import ship
+from loam.session import materialize, ship
 
 #: Detectors of bad quality: a metric and the value from which it flags.
 DETECTORS = [("symbol", 0.2), ("upper", 0.5), ("rep_trigram", 0.3), ("dup_line", 0.25), ("mean_word_len", 8.0)]
@@ -332,11 +332,23 @@ def pending_work(spark, d):
     return docs.join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_anti").groupBy("source").agg(F.count(F.lit(1)).alias("pending"))
 
 
-@query("SELECT c_mktsegment, min(o_orderkey) AS first_order, count(DISTINCT c_custkey) AS customers, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment")
+@query(
+    """WITH f AS (SELECT o_orderkey AS file, 'g' || o_custkey AS stem, 'p' || (o_orderkey % 4) AS galley FROM orders), g AS (SELECT DISTINCT 'g' || o_custkey AS stem, 'p' || (o_orderkey % 4) AS galley FROM orders WHERE o_orderkey % 3 <> 0),
+        m AS (SELECT stem, list(galley) AS galleys FROM g GROUP BY stem), t AS (SELECT 'g' || c_custkey AS stem, c_name AS title, c_mktsegment AS journal FROM customer WHERE c_custkey % 5 <> 0)
+        SELECT file, f.stem, title, journal, coalesce(list_contains(galleys, galley), false) AS galley_match, title IS NOT NULL AS has_metadata FROM f LEFT JOIN m USING (stem) LEFT JOIN t USING (stem)"""
+)
 def metadata_join(spark, d):
-    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    by = rows.groupBy("c_mktsegment", "c_custkey").agg(F.min("o_orderkey").alias("f"), F.count(F.lit(1)).alias("n"))
-    return by.groupBy("c_mktsegment").agg(F.min("f").alias("first_order"), F.count(F.lit(1)).alias("customers"), F.sum("n").alias("orders"))
+    """Files with the metadata of their stem, and whether the metadata lists the file's galley; files without any stay.
+
+    Orders stand for files, customers for papers: metadata is unique by stem, galleys are a list for each stem.
+    """
+    orders, key = table(spark, d, "orders"), F.col("o_orderkey")
+    stem, galley = F.concat(F.lit("g"), F.col("o_custkey").cast("string")), F.concat(F.lit("p"), F.pmod(key, F.lit(4)).cast("string"))
+    files = orders.select(key.alias("file"), stem.alias("stem"), galley.alias("galley"))
+    listed = orders.where("o_orderkey % 3 <> 0").select(stem.alias("stem"), galley.alias("galley")).groupBy("stem").agg(F.collect_set("galley").alias("galleys"))
+    papers = table(spark, d, "customer").where("c_custkey % 5 <> 0").select(F.concat(F.lit("g"), F.col("c_custkey").cast("string")).alias("stem"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("journal"))
+    rows = files.join(listed, "stem", "left").join(papers, "stem", "left")
+    return rows.select("file", "stem", "title", "journal", F.coalesce(F.array_contains("galleys", F.col("galley")), F.lit(False)).alias("galley_match"), F.col("title").isNotNull().alias("has_metadata"))
 
 
 @query(
@@ -373,3 +385,28 @@ def tfidf_weights(spark, d):
     tokens = F.regexp_extract_all(F.lower(T.body(F.col("text"))), F.lit(r"([\p{L}]+)"), F.lit(1))
     w = vectors.tfidf(table(spark, d, "documents"), "doc_id", tokens)
     return w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_words"), F.round(F.max("weight"), 6).alias("heaviest"))
+
+
+@query()
+def singular_vectors(spark, d):
+    """TF-IDF of the documents in the space of 64 singular vectors, as unit vectors: their first two coordinates."""
+    tokens = F.regexp_extract_all(F.lower(T.body(F.col("text"))), F.lit(r"([\p{L}]+)"), F.lit(1))
+    weights = vectors.tfidf(table(spark, d, "documents"), "doc_id", tokens)
+    made = vectors.svd_vectors(weights, "doc_id")
+    return made.select("doc_id", F.size("vector").alias("dimensions"), F.round(F.get("vector", F.lit(0)), 6).alias("first"), F.round(F.get("vector", F.lit(1)), 6).alias("second"))
+
+
+@query()
+def text_embeddings(spark, d):
+    """The embedding hook with hashed words as the model; the nearest documents of every hundredth one."""
+    made, _ = materialize(vectors.embed(table(spark, d, "documents").where("doc_id IS NOT NULL"), "doc_id", "text", vectors.hashed_words), "embeddings")
+    return vectors.cosine_neighbours(made, made.where("doc_id % 100 = 0"), "doc_id", "embedding", k=3).select("query", "id", "rank")
+
+
+@query()
+def cluster_space(spark, d):
+    """The space that clusters are found in: as many principal components as the vectors allow, fifty at most; the plane of
+    UMAP isn't one, and its coordinates are null without that library."""
+    rows = table(spark, d, "embeddings")
+    points = vectors.principal_components(rows, "vec_id", "embedding", 50)
+    return points.select("vec_id", *[F.round(f"pc{i}", 6).alias(f"pc{i}") for i in (1, 2, 50)], F.lit(None).cast("double").alias("umap_x"), F.lit(None).cast("double").alias("umap_y"))

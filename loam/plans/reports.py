@@ -52,13 +52,27 @@ def reextraction_plan(spark, d):
 
 
 @query(
-    f"""WITH {SCORED_SQL} SELECT source, lang, count(*) AS docs, sum(words)::BIGINT AS words, avg((len(codes) > 0)::INTEGER) AS suspicious, count(*) FILTER (band = 'D') AS bad FROM q GROUP BY source, lang"""
+    r"""WITH pg AS (SELECT doc_id, source AS producer, lang AS creator, place, t FROM (SELECT doc_id, source, lang, unnest(range(0, len(l))) AS place, unnest(l) AS t FROM (SELECT doc_id, source, lang, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+        tk AS (SELECT doc_id, producer, creator, place, unnest(regexp_extract_all(lower(t), '[\p{L}]+')) AS w FROM pg),
+        kn AS (SELECT w FROM (SELECT DISTINCT doc_id, w FROM tk) GROUP BY w HAVING count(*) >= 3),
+        un AS (SELECT doc_id, producer, creator, place, count(*) AS n, count(*) FILTER (w NOT IN (SELECT w FROM kn)) / count(*) AS unknown FROM tk GROUP BY ALL),
+        ct AS (SELECT producer, creator, count(DISTINCT doc_id) AS docs, count(*) AS pages FROM pg GROUP BY ALL)
+        SELECT ct.producer, ct.creator, docs, pages, round(avg(unknown) FILTER (n >= 30), 9) AS unknown_rate, count(*) FILTER (n >= 30 AND unknown >= 0.3) AS suspect_pages
+        FROM ct LEFT JOIN un ON un.producer = ct.producer AND un.creator IS NOT DISTINCT FROM ct.creator GROUP BY ALL"""
 )
 def producer_profile(spark, d):
-    docs = scored_documents(spark, d)
-    return docs.groupBy("source", "lang").agg(
-        F.count(F.lit(1)).alias("docs"), F.sum("m.words").alias("words"), F.avg((F.size("reason_codes") > 0).cast("int")).alias("suspicious"), F.count_if(F.col("quality_band") == "D").alias("bad")
-    )
+    """Documents and pages (lines) of each producer (source and language), the mean share of unknown words on pages of thirty
+    words or more, and pages where it is large. A word is known if three documents have it."""
+    lines = table(spark, d, "documents").select("doc_id", F.col("source").alias("producer"), F.col("lang").alias("creator"), F.posexplode(F.split(T.body(F.col("text")), "\n")).alias("place", "t"))
+    words = F.regexp_extract_all(F.lower("t"), F.lit(r"([\p{L}]+)"), F.lit(1))
+    counts = lines.groupBy("producer", "creator", "doc_id").agg(F.count(F.lit(1)).alias("k")).groupBy("producer", "creator").agg(F.count(F.lit(1)).alias("docs"), F.sum("k").alias("pages"))
+    used = lines.select("doc_id", "producer", "creator", "place", F.explode(words).alias("w")).groupBy("doc_id", "producer", "creator", "place", "w").agg(F.count(F.lit(1)).alias("k"))
+    known = used.select("doc_id", "w").distinct().groupBy("w").agg(F.count(F.lit(1)).alias("df")).where("df >= 3").select("w", F.lit(1).alias("known"))
+    pages = used.join(known, "w", "left").groupBy("producer", "creator", "doc_id", "place").agg(F.sum("k").alias("n"), F.sum(F.when(F.col("known").isNull(), F.col("k")).otherwise(0)).alias("u"))
+    share, long = F.col("u") / F.col("n"), F.col("n") >= 30
+    rates = pages.groupBy("producer", "creator").agg(F.round(F.avg(F.when(long, share)), 9).alias("unknown_rate"), F.count_if(long & (share >= 0.3)).alias("suspect_pages"))
+    same = [F.col("c.producer") == F.col("r.producer"), F.col("c.creator").eqNullSafe(F.col("r.creator"))]
+    return counts.alias("c").join(rates.alias("r"), same, "left").select("c.producer", "c.creator", "docs", "pages", "unknown_rate", F.coalesce("suspect_pages", F.lit(0)).alias("suspect_pages"))
 
 
 @query(
@@ -136,11 +150,14 @@ def labelling_sample(spark, d):
 
 
 @query(
-    """SELECT label, count(*) AS n, round(avg(embedding[1]), 5) AS mean_first, count(*) FILTER (page_id IS NOT NULL) AS n_pages FROM embeddings LEFT JOIN pages ON vec_id = page_id GROUP BY label"""
+    """SELECT doc_id, source, lang, label AS cluster_id, round(embedding[1], 5) AS x, round(embedding[2], 5) AS y, left(coalesce(text, ''), 80) AS hint FROM embeddings JOIN documents ON vec_id = doc_id"""
 )
 def embedding_map(spark, d):
-    rows = table(spark, d, "embeddings").join(table(spark, d, "pages").select("page_id"), F.col("vec_id") == F.col("page_id"), "left")
-    return rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.get("embedding", F.lit(0)).cast("double")), 5).alias("mean_first"), F.count("page_id").alias("n_pages"))
+    """The points of the map: reduced vectors (here their first two coordinates) with their documents' attributes."""
+    at = lambda i: F.round(F.get("embedding", F.lit(i)), 5)
+    points = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("label").alias("cluster_id"), at(0).alias("x"), at(1).alias("y"))
+    docs = table(spark, d, "documents").select("doc_id", "source", "lang", F.left(T.body(F.col("text")), F.lit(80)).alias("hint"))
+    return points.join(docs, "doc_id").select("doc_id", "source", "lang", "cluster_id", "x", "y", "hint")
 
 
 @query(
@@ -154,15 +171,40 @@ def smallest_id_join(spark, d):
 
 
 @query(
-    """WITH p AS (SELECT source, length(coalesce(text, '')) AS n, contains(text, '@') AS has_at FROM documents) SELECT source, count(*) AS n, median(n) AS median_chars, max(n)::BIGINT AS max_chars, avg(has_at::INTEGER) AS at_share, count(DISTINCT n) AS n_lengths FROM p GROUP BY source"""
+    """WITH p AS (SELECT source, lang, length(coalesce(text, '')) AS n, contains(text, '@') AS has_at FROM documents), l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY k DESC, lang) AS r FROM (SELECT source, lang, count(*) AS k FROM p WHERE lang IS NOT NULL GROUP BY source, lang)),
+        t AS (SELECT source, string_agg(lang || '=' || k, ',' ORDER BY r) AS top_langs FROM l WHERE r <= 3 GROUP BY source)
+        SELECT source, count(*) AS n, median(n) AS median_chars, quantile_cont(n, 0.1) AS p10, quantile_cont(n, 0.9) AS p90, max(n)::BIGINT AS max_chars, avg(has_at::INTEGER) AS at_share, count(DISTINCT n) AS n_lengths, any_value(top_langs) AS top_langs FROM p LEFT JOIN t USING (source) GROUP BY source"""
 )
 def source_probe(spark, d):
+    """Lengths, a share and the commonest languages of each source."""
     n = F.length(T.body(F.col("text")))
-    rows = table(spark, d, "documents").select("source", n.alias("n"), F.contains("text", F.lit("@")).alias("at"))
+    rows = table(spark, d, "documents").select("source", "lang", n.alias("n"), F.contains("text", F.lit("@")).alias("at"))
     by = rows.groupBy("source", "n").agg(F.count(F.lit(1)).alias("k"), F.count_if("at").alias("a"))
-    return by.groupBy("source").agg(
-        F.sum("k").alias("n"), F.expr("percentile(n, 0.5, k)").alias("median_chars"), F.max("n").cast("long").alias("max_chars"), (F.sum("a") / F.sum("k")).alias("at_share"), F.count(F.lit(1)).alias("n_lengths")
-    )
+    langs = rows.where("lang IS NOT NULL").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("k"))
+    top = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("k")).alias("k"), "lang"))), 1, 3)
+    langs = langs.groupBy("source").agg(F.array_join(F.transform(top, lambda x: F.concat_ws("=", x["lang"], (-x["k"]).cast("string"))), ",").alias("top_langs"))
+    out = by.groupBy("source").agg(
+        F.sum("k").alias("n"), F.expr("percentile(n, 0.5, k)").alias("median_chars"), F.expr("percentile(n, 0.1, k)").alias("p10"), F.expr("percentile(n, 0.9, k)").alias("p90"),
+        F.max("n").cast("long").alias("max_chars"), (F.sum("a") / F.sum("k")).alias("at_share"), F.count(F.lit(1)).alias("n_lengths"),
+    )
+    return out.join(langs, "source", "left")
+
+
+@query(
+    r"""WITH n AS (SELECT source, body, regexp_replace(trim(regexp_replace(body, '[ \t]+', ' ', 'g')), '\n{3,}', chr(10) || chr(10), 'g') AS flat FROM (SELECT source, coalesce(text, '') AS body FROM documents))
+        SELECT source, count(*) AS docs, sum(length(body))::BIGINT AS chars_before, sum(length(flat))::BIGINT AS chars_after, count(*) FILTER (flat <> body) AS changed, sum(len(regexp_extract_all(body, '(^|\n)[ \t]+[^ \t\n]')))::BIGINT AS indents,
+               sum(len(regexp_extract_all(body, '[\x{F020}-\x{F0FE}]')))::BIGINT AS symbols FROM n GROUP BY source"""
+)
+def normalize_stats(spark, d):
+    """What collapsing blanks changes in each source; indented lines and characters of the Symbol font."""
+    text = T.body(F.col("text"))
+    flat = F.regexp_replace(F.trim(F.regexp_replace(text, r"[ \t]+", " ")), "\n{3,}", "\n\n")
+    rows = table(spark, d, "documents").select("source", text.alias("b"), flat.alias("f"))
+    indents = F.regexp_count("b", F.lit(r"(^|\n)[ \t]+[^ \t\n]"))
+    return rows.groupBy("source").agg(
+        F.count(F.lit(1)).alias("docs"), F.sum(F.length("b")).alias("chars_before"), F.sum(F.length("f")).alias("chars_after"), F.count_if(F.col("b") != F.col("f")).alias("changed"),
+        F.sum(indents).cast("long").alias("indents"), F.sum(T.chars_of(F.col("b"), r"\x{F020}-\x{F0FE}")).cast("long").alias("symbols"),
+    )
 
 
 @query(

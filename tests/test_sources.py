@@ -85,3 +85,13 @@ def test_report_rows_are_written(spark, tmp_path):
     readers.write_report_rows(rows, f"{tmp_path}/c", "csv")
     readers.write_report_rows(rows, f"{tmp_path}/j", "json")
     assert spark.read.option("header", "true").csv(f"{tmp_path}/c").first()["t"] == "a" and spark.read.json(f"{tmp_path}/j").first()["n"] == 1
+
+
+def test_html_report(spark):
+    from loam.plans import html
+
+    rows = spark.createDataFrame([("band", "A", 3), ("band", "A", 2), ("band", "<b>", 1), ("source", None, 4)], "kind string, key string, n long")
+    points = spark.createDataFrame([(0.0, 1.0, "a & b"), (2.0, None, "no")], "x double, y double, hint string")
+    page = html.report(rows, points, "T")
+    assert page.count("<rect") == 3 and ">5<" in page and "&lt;b&gt;" in page and "<b>" not in page and page.count("<circle") == 1 and "a &amp; b" in page
+    assert html.bars("x", [(str(i), i) for i in range(50)]).count("<rect") == html.MOST_BARS + 1 and html.report(rows.limit(0)).count("<svg") == 0
