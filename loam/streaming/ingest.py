@@ -37,8 +37,19 @@ def windowed_counts(events: DataFrame, time: str = "ts", key: str = "event_type"
 
 
 def run_to_table(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """Runs a stream over all that is there now into a table in memory (small results only) and gives it."""
+    """Runs a stream over all that is there now and gives its result, from files in the shared scratch folder.
+
+    Each batch is written to a folder of its own, so one that runs again replaces it; in complete mode the last batch is
+    the result, in append mode all batches together.
+    """
     spark = stream.sparkSession
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", scratch_path(spark, f"stream-{name}")).trigger(availableNow=True).start()
+    path, done = scratch_path(spark, f"stream-{name}"), set()
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{number:09d}")
+        done.add(number)
+
+    query = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", scratch_path(spark, f"checkpoint-{name}")).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.table(name)
+    wanted = [max(done)] if done and mode == "complete" else sorted(done)
+    return spark.read.schema(stream.schema).parquet(*[f"{path}/{n:09d}" for n in wanted]) if wanted else spark.createDataFrame([], stream.schema)
