@@ -34,18 +34,50 @@ def normalized(text: str) -> str:
     return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip("\n")
 
 
-def is_protected(lines: list[str]) -> bool:
-    """Whether a document has code or tables, whose repeated lines are syntax."""
-    if any(x.lstrip().startswith("```") for x in lines):
+#: Lines that are code by themselves, and lines that are code only among such.
+_CODE = re.compile(
+    r"\s*(?:```.*|[{}\[\]();,]+|.*\{|#include\s*[<\"].*|import\s+[\w.]+(?:\s+as\s+\w+)?|from\s+[\w.]+\s+import\s+[\w.*, ()]+|[A-Za-z_][\w.]*\([^()]*\)|.*[A-Za-z_]\(.*\)\s*;"
+    r"|(?:SELECT|FROM|WHERE|ORDER BY|GROUP BY|INSERT INTO|UPDATE|DELETE FROM|CREATE TABLE|JOIN|VALUES)\s+\S.*"
+    r"|(?:def|class|return|function|var|let|const|public|private|static|void|elif|else|except|try|catch|printf?|while|for|if|end|begin|switch|case)\b.*[:;{]|[A-Za-z_][\w.\[\]]*\s*[+\-*/:]?=\s*[^=].*;)\s*"
+)
+_WEAK_CODE = re.compile(r"\s*(?:[A-Za-z_][\w.\[\]'\"]*\s*(?:[+\-*/%]|//)?=\s*[^=\s].*|return(?:\s+[^\s.][^.]*)?|pass|break|continue|else|try|finally|begin|end[;.]?)\s*")
+_RULE = re.compile(r"\s*\|?\s*:?-{3,}:?\s*(?:\|\s*:?-{3,}:?\s*)+\|?\s*")
+_FIGURE = re.compile(r"[-+]?[\d.,]+\s*%?")
+
+
+def _runs(flags: list[bool | None]) -> list[list[int]]:
+    """Places of neighbouring true flags; None doesn't break a run."""
+    out: list[list[int]] = [[]]
+    for i, flag in enumerate(flags):
+        if flag:
+            out[-1].append(i)
+        elif flag is not None and out[-1]:
+            out.append([])
+    return [r for r in out if r]
+
+
+def is_protected(lines: list[str], code: int = 3, pipes: int = 3, cells: int = 6, cell_words: int = 4) -> bool:
+    """Whether a document has code or tables, whose repeated lines are syntax.
+
+    Code is a fence, or a run of three code lines (blank ones aside) of which one is code by itself; a table is a rule of
+    dashes, three lines with equally many pipes (two at least), or a run of six short lines half of which are figures.
+    """
+    if any(x.lstrip().startswith("```") or _RULE.fullmatch(x) for x in lines):
+        return True
+    solid = [x for x in lines if x.strip()]
+    strong = [_CODE.fullmatch(x) is not None for x in solid]
+    either = [s or _WEAK_CODE.fullmatch(x) is not None for s, x in zip(strong, solid, strict=True)]
+    if any(len(r) >= code and any(strong[i] for i in r) for r in _runs(either)):
         return True
     run, last = 0, 0
     for x in lines:
-        pipes = x.count("|")
-        run = run + 1 if pipes and pipes == last else int(bool(pipes))
-        last = pipes
-        if run >= 3:
+        n = x.count("|")
+        run = run + 1 if n > 1 and n == last else int(n > 1)
+        last = n
+        if run >= pipes:
             return True
-    return False
+    short = [0 < len(x.split()) < cell_words for x in solid]
+    return any(len(r) >= cells and 2 * sum(_FIGURE.fullmatch(solid[i].strip()) is not None for i in r) >= len(r) for r in _runs(short))
 
 
 def is_lead_in(line: str) -> bool:

@@ -36,6 +36,25 @@ def sft_pairs(spark, d):
     return rows.select(unit.alias("unit_id"), F.sha2("q", 256).alias("q_sha256"), F.sha2("text", 256).alias("a_sha256"), T.word_count(F.concat_ws("\n", "q", "text")).alias("n_tokens"))
 
 
+@query(
+    """WITH p AS (SELECT conv_id, turn, role, text, lag(role) OVER w AS q_role FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+        k AS (SELECT conv_id, count(*) FILTER (role = 'assistant' AND q_role <> 'assistant') AS pairs, string_agg(role || ': ' || text, chr(10) ORDER BY turn) FILTER (coalesce(text, '') <> '') AS body FROM p GROUP BY conv_id)
+        SELECT conv_id || CASE WHEN pairs > 0 THEN ':sft' || i ELSE ':cpt' END AS unit_id, CASE WHEN pairs > 0 THEN 'sft' ELSE 'cpt' END AS kind, CASE WHEN pairs = 0 THEN sha256(coalesce(body, '')) END AS text_sha256
+        FROM (SELECT conv_id, pairs, body, unnest(range(0, greatest(pairs, 1))) AS i FROM k)"""
+)
+def knowledge_units(spark, d):
+    """The units of each conversation: its pairs, or the whole of it where it has none."""
+    turns = table(spark, d, "conversations")
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    pairs = turns.withColumn("q", F.lag("role").over(w)).groupBy("conv_id").agg(F.count_if((F.col("role") == "assistant") & (F.col("q") != "assistant")).alias("pairs"))
+    alone = turns.join(pairs.where("pairs = 0"), "conv_id", "left_semi").where(T.body(F.col("text")) != "")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda x: F.concat_ws(": ", x["role"], x["text"])), "\n")
+    rows = pairs.join(alone.groupBy("conv_id").agg(body.alias("body")), "conv_id", "left").withColumn("i", F.explode(F.sequence(F.lit(0), F.greatest(F.col("pairs") - 1, F.lit(0)))))
+    some = F.col("pairs") > 0
+    unit = F.concat(F.col("conv_id").cast("string"), F.when(some, F.concat(F.lit(":sft"), F.col("i").cast("string"))).otherwise(":cpt"))
+    return rows.select(unit.alias("unit_id"), F.when(some, "sft").otherwise("cpt").alias("kind"), F.when(~some, F.sha2(T.body(F.col("body")), 256)).alias("text_sha256"))
+
+
 @query(
     r"""WITH r AS (SELECT conv_id, role, sum(len(regexp_extract_all(text, '\p{L}'))) AS l FROM conversations WHERE role <> 'system' GROUP BY ALL)
         SELECT conv_id, coalesce(sum(l) FILTER (role = 'user'), 0)::BIGINT AS user_letters, coalesce(sum(l) FILTER (role = 'assistant'), 0)::BIGINT AS answer_letters,

@@ -11,7 +11,8 @@ from loam.operators import compare, defects, fingerprints, language, packing, pa
 from loam.plans.conversations import LINE_CHUNKS, SEGMENTS_SQL, _line_chunks
 from loam.plans.documents import _LEX, PROFILE, SCORED_SQL, scored_documents
 from loam.plans.registry import query, table
-from loam.session import materialize, ship
+from loam.plans.runtime import Run
+from loam.session import materialize, scratch_path, ship
 from loam.sources import office, readers
 
 #: Lines of a page where documents stand for extracted files.
@@ -279,3 +280,46 @@ def report_rows(spark, d):
         F.transform("reason_codes", lambda c: F.struct(F.lit("code").alias("kind"), c.alias("key"))),
     )
     return rows.select(F.explode(each).alias("x")).groupBy("x.kind", "x.key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    r"""WITH kw AS (SELECT w FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}]+')) AS w FROM documents) GROUP BY w HAVING count(*) >= 3),
+        pg AS (SELECT doc_id, source AS book, lang, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}]+') AS ws FROM documents),
+        pk AS (SELECT doc_id, count(*) FILTER (w IN (SELECT w FROM kw)) AS known FROM (SELECT doc_id, unnest(ws) AS w FROM pg) GROUP BY doc_id),
+        bl AS (SELECT book, lang, count(*) AS n, sum(count(*)) OVER (PARTITION BY book) AS total FROM pg GROUP BY book, lang),
+        mn AS (SELECT book, lang AS main FROM bl WHERE n >= 0.8 * total AND lang IS NOT NULL)
+        SELECT pg.doc_id, CASE WHEN len(ws) >= 20 AND coalesce(known, 0) < 0.5 * len(ws) THEN 'few_known_words' WHEN main IS NOT NULL AND coalesce(lang, '') <> main THEN 'foreign_page' END AS reason
+        FROM pg LEFT JOIN pk USING (doc_id) LEFT JOIN mn USING (book)"""
+)
+def book_filter(spark, d):
+    """Pages (documents) that a book (source) would lose: few known words, or another language where four fifths of the book
+    have one. The text isn't touched, so the plan can be made anew from it."""
+    words = F.regexp_extract_all(F.lower(T.body(F.col("text"))), F.lit(r"([\p{L}]+)"), F.lit(1))
+    pages = table(spark, d, "documents").select("doc_id", F.col("source").alias("book"), "lang", words.alias("ws"))
+    used = pages.select("doc_id", F.explode("ws").alias("w")).groupBy("doc_id", "w").agg(F.count(F.lit(1)).alias("k"))
+    known = used.groupBy("w").agg(F.count(F.lit(1)).alias("df")).where("df >= 3").select("w")
+    share = used.join(known, "w").groupBy("doc_id").agg(F.sum("k").alias("known"))
+    langs = pages.groupBy("book", "lang").agg(F.count(F.lit(1)).alias("n"))
+    main = langs.groupBy("book").agg(F.max_by("lang", "n").alias("main"), F.max("n").alias("most"), F.sum("n").alias("total")).where("most >= 0.8 * total AND main IS NOT NULL").select("book", "main")
+    rows = pages.select("doc_id", "book", "lang", F.size("ws").alias("n")).join(share, "doc_id", "left").join(main, "book", "left")
+    few = (F.col("n") >= 20) & (F.coalesce("known", F.lit(0)) < 0.5 * F.col("n"))
+    return rows.select("doc_id", F.when(few, "few_known_words").when(F.col("main").isNotNull() & (F.coalesce("lang", F.lit("")) != F.col("main")), "foreign_page").alias("reason"))
+
+
+@query(
+    f"""WITH {SCORED_SQL} SELECT 'ingest' AS stage, count(*) AS n_rows, false AS reused FROM q UNION ALL SELECT 'quality', count(*), false FROM q UNION ALL SELECT 'kept', count(*), false FROM q WHERE band <> 'D'
+        UNION ALL SELECT 'again', count(*), true FROM q WHERE band <> 'D'"""
+)
+def stage_manifest(spark, d):
+    """A run of stages into the scratch folder, and the same run again, which reads everything back."""
+    run = Run(spark, scratch_path(spark, "run"))
+    run.add("ingest", lambda df: df)
+    run.add("quality", lambda df: quality.scored(quality.with_metrics(df), F.col("lang"), F.lit(1.0), PROFILE).drop("m"))
+    run.add("kept", lambda df, bands: df.where(F.col("quality_band").isin(*bands)), bands=["A", "B", "C"])
+    source, out = table(spark, d, "documents"), None
+    for last in ("ingest", "quality", "kept"):
+        rows, done = run.execute(source, "documents", until=last)
+        one = rows.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(last).alias("stage"), "n_rows", F.lit(done[-1]["reused"]).alias("reused"))
+        out = one if out is None else out.unionByName(one)
+    rows, done = run.execute(source, "documents")
+    return out.unionByName(rows.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("again").alias("stage"), "n_rows", F.lit(all(x["reused"] for x in done)).alias("reused")))
