@@ -542,3 +542,26 @@ def reading_choice(spark, d):
     first, second = F.get("top", F.lit(0)), F.get("top", F.lit(1))
     sure = second.isNull() | (second["k"] - first["k"] >= 2)
     return best.select("place", F.when(sure, first["reading"]).alias("reading"))
+
+
+@query(
+    f"""WITH {ENGINES_SQL}, sw AS (SELECT page_id, engine, unnest(regexp_extract_all(lower(raw), '[\\p{{L}}]+')) AS t FROM sc WHERE engine IN ('alpha', 'gamma') AND raw IS NOT NULL),
+        sv AS (SELECT page_id, t, count(*) FILTER (engine = 'alpha') AS a, count(*) FILTER (engine = 'gamma') AS g FROM sw GROUP BY ALL),
+        sd AS (SELECT page_id, 2 * sum(least(a, g)) / sum(a + g) AS dice FROM sv GROUP BY page_id),
+        sf AS (SELECT page_id, bool_or(reason IS NOT NULL) AS flagged FROM sc WHERE engine = 'gamma' GROUP BY page_id)
+        SELECT source AS grp, count(*) AS pages, round(avg(dice), 9) AS mean_similarity, round(min(dice), 9) AS least_similarity, avg(dice) < 0.85 AS bad, avg(dice) < 0.85 AND NOT bool_or(flagged) AS missed
+        FROM sd JOIN documents ON doc_id = page_id JOIN sf USING (page_id) GROUP BY source"""
+)
+def group_similarity(spark, d):
+    """How alike two readings of the pages of each group are, the groups where they differ, and those of them in which the
+    detector flags no page."""
+    rows = _engines(spark, d).where("engine IN ('alpha', 'gamma') AND raw IS NOT NULL")
+    words = rows.select("page_id", "engine", F.explode(F.regexp_extract_all(F.lower("raw"), F.lit(r"([\p{L}]+)"), F.lit(1))).alias("t"))
+    bags = words.groupBy("page_id", "t").agg(F.count_if(F.col("engine") == "alpha").alias("a"), F.count_if(F.col("engine") == "gamma").alias("g"))
+    dice = bags.groupBy("page_id").agg((2 * F.sum(F.least("a", "g")) / F.sum(F.col("a") + F.col("g"))).alias("dice"))
+    flagged = _engines(spark, d).where("engine = 'gamma'").groupBy("page_id").agg(F.max(F.col("reason").isNotNull()).alias("flagged"))
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("page_id"), F.col("source").alias("grp"))
+    bad = F.avg("dice") < 0.85
+    return dice.join(docs, "page_id").join(flagged, "page_id").groupBy("grp").agg(
+        F.count(F.lit(1)).alias("pages"), F.round(F.avg("dice"), 9).alias("mean_similarity"), F.round(F.min("dice"), 9).alias("least_similarity"), bad.alias("bad"), (bad & ~F.max("flagged")).alias("missed")
+    )
