@@ -73,3 +73,21 @@ def test_word_distance():
     for _ in range(100):
         a, b = ([rng.choice("one two three four five".split()) for _ in range(rng.randint(0, 20))] for _ in range(2))
         assert distance(*word_codes(" ".join(a), " ".join(b))) == _brute_force(a, b)
+
+
+def _outputs(page: int, text: str) -> dict[str, str | None]:
+    """The stand-in engines' outputs, as the queries describe them."""
+    upper = "".join(c.upper() if "a" <= c <= "z" else c for c in text)
+    gamma = f"{text[:60]} " * 8 if page % 13 == 0 else text[: len(text) * (15 if page % 5 == 0 else 29) // 30] + " end"
+    return {"alpha": text, "beta": None if page % 7 == 0 else upper[: len(text) * 28 // 30], "gamma": gamma}
+
+
+def test_error_rates_of_whole_texts(spark, tmp_path):
+    rng = random.Random(6)
+    texts = {i: " ".join(rng.choice(["alpha", "bravo", "Charlie", "đêm", "x1"]) for _ in range(rng.randint(0, 90))) for i in range(1, 28)}
+    got = {r["engine"]: r for r in QUERIES["engine_error_rates"](spark, _folder(spark, tmp_path, texts)).collect()}
+    for engine in ("alpha", "beta", "gamma"):
+        made = {i: _outputs(i, t)[engine] or "" for i, t in texts.items()}
+        assert got[engine]["dist"] == sum(min(_brute_force(made[i], t), len(t)) for i, t in texts.items())
+        assert got[engine]["word_dist"] == sum(min(_brute_force(made[i].split(), t.split()), len(t.split())) for i, t in texts.items())
+        assert got[engine]["n"] == sum(map(len, texts.values()))
