@@ -13,3 +13,12 @@ def test_first_row_of_the_same_number(spark, tmp_path):
     rows.to_parquet(f"{tmp_path}/lineitem.parquet")
     pd.DataFrame({"p_partkey": [1, 2, 3], "p_brand": ["a", "b", "c"]}).to_parquet(f"{tmp_path}/part.parquet")
     assert assert_same(plans.QUERIES["smallest_id_join"](spark, str(tmp_path)), plans.SQL["smallest_id_join"], str(tmp_path)) == 3
+
+
+def test_mix_of_all_segments(spark, tmp_path):
+    """Two languages that alternate, so that every second of 100 segments would show only one."""
+    text = "\n\n".join(["les enfants de la ville", "the children of the town"] * 50)
+    pd.DataFrame({"doc_id": [1], "text": [text], "source": "s", "lang": "en"}).to_parquet(f"{tmp_path}/documents.parquet")
+    assert assert_same(plans.QUERIES["lang_mix"](spark, str(tmp_path)), plans.SQL["lang_mix"], str(tmp_path)) == 1
+    row = plans.QUERIES["lang_mix"](spark, str(tmp_path)).first()
+    assert row["n_segments"] == 100 and row["mixed"] and row["mix"].count("=") == 2
