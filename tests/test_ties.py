@@ -15,6 +15,14 @@ def test_first_row_of_the_same_number(spark, tmp_path):
     assert assert_same(plans.QUERIES["smallest_id_join"](spark, str(tmp_path)), plans.SQL["smallest_id_join"], str(tmp_path)) == 3
 
 
+def test_shares_round_as_in_the_sql(spark, tmp_path):
+    """Shares of which the fifth digit is a 5: the scaled double decides, as in the SQL."""
+    parts = [(a, total) for total in (160, 800, 2000, 4000) for a in range(11, total // 2, 7)]
+    text = ["é" * a + "\n\n" + "b" * (total - a) for a, total in parts]
+    pd.DataFrame({"doc_id": range(len(text)), "text": text, "source": "s", "lang": "en"}).to_parquet(f"{tmp_path}/documents.parquet")
+    assert assert_same(plans.QUERIES["lang_mix"](spark, str(tmp_path)), plans.SQL["lang_mix"], str(tmp_path)) == len(parts)
+
+
 def test_mix_of_all_segments(spark, tmp_path):
     """Two languages that alternate, so that every second of 100 segments would show only one."""
     text = "\n\n".join(["les enfants de la ville", "the children of the town"] * 50)
