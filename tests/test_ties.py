@@ -30,3 +30,10 @@ def test_mix_of_all_segments(spark, tmp_path):
     assert assert_same(plans.QUERIES["lang_mix"](spark, str(tmp_path)), plans.SQL["lang_mix"], str(tmp_path)) == 1
     row = plans.QUERIES["lang_mix"](spark, str(tmp_path)).first()
     assert row["n_segments"] == 100 and row["mixed"] and row["mix"].count("=") == 2
+
+
+def test_paragraphs_of_other_spaces_are_blank(spark, tmp_path):
+    """The SQL's trim() takes off every space separator: a paragraph of no-break spaces isn't one."""
+    text = "les enfants de la ville\nthe children of the town and the house\n\n\u00a0\u3000"
+    pd.DataFrame({"doc_id": [1], "text": [text], "source": "s", "lang": "en"}).to_parquet(f"{tmp_path}/documents.parquet")
+    assert assert_same(plans.QUERIES["lang_mix"](spark, str(tmp_path)), plans.SQL["lang_mix"], str(tmp_path)) == 1
